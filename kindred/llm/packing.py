@@ -1,10 +1,10 @@
 """Best-fit packing into fixed-length sequences, certified by dual-feasible-function bounds.
 
 Documents become pieces of at most `capacity` tokens. Full pieces are sequences of their own. The others
-are dealt into partitions of bounded size; each is packed best-fit decreasing and its bins are counted
-against lower bounds from dual feasible functions. A partition that meets its bound is done. Those with a
-gap keep their full bins, exchange the documents of the others and pack again, in ever fewer and larger
-mixes, while that saves bins."""
+are dealt into partitions of bounded size and packed best-fit decreasing. Bins are counted against lower
+bounds from dual feasible functions, of each partition and of the histogram of all lengths. If the whole
+meets its bound, no packing is better. Else the partitions with a gap, to their own bound or to their mere
+volume, keep their full bins, exchange the documents of the others and pack again, in ever fewer mixes."""
 
 from __future__ import annotations
 
@@ -124,11 +124,10 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """The best of two families of dual feasible functions, on the histogram of lengths: for a cut c, sizes
-    over capacity - c count as whole bins and those under c as nothing; for k, sizes are rounded down to
-    k-ths of a bin by way of k + 1 of them."""
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+def lower_bound(count: np.ndarray, capacity: int) -> int:
+    """Bins that count[n] pieces of each length n need at least: the best of two families of dual feasible
+    functions. For a cut c, sizes over capacity - c count as whole bins and those under c as nothing; for k,
+    sizes are rounded down to k-ths of a bin by way of k + 1 of them."""
     size = np.arange(capacity + 1)
     best = 0
     number, mass = np.concatenate([[0], np.cumsum(count)]), np.concatenate([[0], np.cumsum(count * size)])
@@ -144,7 +143,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
-PLACED = "uid long, length long, part long, bin long, offset long, bound long, n_bins long, loose boolean"
+PLACED = "uid long, length long, part long, bin long, offset long, bound long, n_bins long, volume long, loose boolean"
 
 
 def _pack(capacity: int):
@@ -153,13 +152,13 @@ def _pack(capacity: int):
         by = np.lexsort((uid, length))
         uid, length, part, was, at = (x[by] for x in (uid, length, part, was, at))
         bins, offsets = best_fit(length, capacity)
-        bound, n = lower_bound(length, capacity), int(bins.max()) + 1
+        bound, n = lower_bound(np.bincount(length, minlength=capacity + 1), capacity), int(bins.max()) + 1
         names, old = np.unique(was, return_inverse=True)
         if was.min() >= 0 and len(names) <= n:  # the mix saved nothing: the earlier places stay
             bins, offsets, n = old, at, len(names)
         used = np.bincount(bins, weights=length)
-        cols = [uid, length, part, bins, offsets, np.full(len(uid), bound), np.full(len(uid), n)]
-        return pa.table([*(pa.array(c.astype(np.int64)) for c in cols), pa.array(used[bins] < capacity)], names=["uid", "length", "part", "bin", "offset", "bound", "n_bins", "loose"])
+        cols = [uid, length, part, bins, offsets, np.full(len(uid), bound), np.full(len(uid), n), np.full(len(uid), -(-int(length.sum()) // capacity))]
+        return pa.table([*(pa.array(c.astype(np.int64)) for c in cols), pa.array(used[bins] < capacity)], names=["uid", "length", "part", "bin", "offset", "bound", "n_bins", "volume", "loose"])
 
     return run
 
@@ -169,22 +168,24 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bins: int = BINS) -> DataF
     tokens, gapless from 0. Equal rows are packed as the rows that they are. No rows: no sequences."""
     full = F.col("length") >= capacity
     own = stored(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    tokens = own.where(~full).agg(F.sum("length")).first()[0] or 0
-    parts = -(-tokens // (bins * capacity)) or 1
+    lengths = {r["length"]: r["n"] for r in own.where(~full).groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most one row for each length
+    least = lower_bound(np.array([lengths.get(n, 0) for n in range(capacity + 1)], np.int64), capacity)
+    parts = -(-sum(n * k for n, k in lengths.items()) // (bins * capacity)) or 1
     todo = own.where(~full).select("uid", "length", F.pmod(F.xxhash64("uid"), F.lit(parts)).alias("part"), F.lit(-1).cast("long").alias("bin"), F.lit(0).cast("long").alias("offset"))
-    rounds, done, level = 0, [], (1 << 26)
+    rounds, settled, done, level = 0, 0, [], (1 << 26)
     while True:
         placed = stored(todo.groupBy("part").applyInArrow(_pack(capacity), PLACED), "placed")
         named = placed.withColumn("sequence_id", F.lit(rounds) * F.lit(1 << 56) + F.col("part") * F.lit(level) + F.col("bin"))
-        open_ = (F.col("n_bins") > F.col("bound")) & F.col("loose")
-        left = placed.where(open_).select("part").distinct().limit(2).count()
-        if parts == 1 or left < 2:  # one partition has no other to exchange with
+        gap = F.col("loose") & (F.col("n_bins") > F.least("bound", "volume"))
+        now = named.groupBy("part", "sequence_id").agg(F.max(gap).alias("gap")).agg(F.count("*"), F.sum(F.col("gap").cast("int")), F.countDistinct(F.when(F.col("gap"), F.col("part")))).first()
+        if settled + now[0] <= least or parts == 1 or now[2] < 2:  # certified, or nothing left to exchange with
             done.append(named)
             break
-        done.append(named.where(~open_))
+        settled += now[0] - now[1]
+        done.append(named.where(~gap))
         parts, rounds = -(-parts // MIX), rounds + 1
         # an earlier place is known by its sequence, which is unique among partitions
-        todo = named.where(open_).select("uid", "length", F.floor(F.col("part") / MIX).alias("part"), F.col("sequence_id").alias("bin"), "offset")
+        todo = named.where(gap).select("uid", "length", F.floor(F.col("part") / MIX).alias("part"), F.col("sequence_id").alias("bin"), "offset")
     place = done[0].select("uid", "sequence_id", "offset")
     for d in done[1:]:
         place = place.unionByName(d.select("uid", "sequence_id", "offset"))

@@ -89,7 +89,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 hits AS ({" UNION ALL ".join(parts)}),
 each AS (
   SELECT doc_id, place, kind, least, g[i] AS grp, length(m[i]) AS size,
-    list_sum(list_transform(gaps[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0) AS a
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS a
   FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM hits)),
 spans AS (SELECT doc_id, place, kind, CAST(a AS BIGINT) AS a, CAST(a + size AS BIGINT) AS b FROM each WHERE length(grp) >= least),
 listed AS (

@@ -255,7 +255,7 @@ def test_toxicity_learns_sentences(spark):
             ss[rng.randrange(len(ss))] += rng.choice([" vilething", " scorn", " vilely"])
         rows.append((i, ". ".join(ss) + "."))
         lab.append((i, int(bad)))
-    docs, labels = frame(spark, rows + [(1000, None), (1001, ""), (None, "vilest of all."), (1002, "calm. You vilething! calm")]), spark.createDataFrame(lab, "doc_id long, toxic int")
+    docs, labels = frame(spark, rows + [(1000, None), (1001, ""), (None, "vilely of all."), (1002, "calm. You vilething! calm")]), spark.createDataFrame(lab, "doc_id long, toxic int")
     got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
     held = [i for i in range(600) if zlib.crc32(str(i).encode()) % 4 == 2]
     assert np.mean([got[i].predicted == (i % 5 == 0) for i in held]) > 0.97
@@ -397,9 +397,9 @@ def test_lower_bound():
     rng = random.Random(9)
     for _ in range(40):
         lengths = np.array([rng.randint(1, 30) for _ in range(rng.randint(1, 25))])
-        bound, n = packing.lower_bound(lengths, 30), packing.best_fit(lengths, 30)[0].max() + 1
+        bound, n = packing.lower_bound(np.bincount(lengths, minlength=31), 30), packing.best_fit(lengths, 30)[0].max() + 1
         assert -(-lengths.sum() // 30) <= bound <= n
-    assert packing.lower_bound(np.array([16] * 5), 30) == 5
+    assert packing.lower_bound(np.bincount([16] * 5, minlength=31), 30) == 5
 
 
 def test_word_tools():
