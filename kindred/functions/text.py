@@ -121,7 +121,7 @@ def skeleton(token: Column) -> Column:
 
 def id_list(s: Column) -> Column:
     """A comma list of ids, trimmed, without blanks; first mentions in order."""
-    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), ","), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def bucket(sid: Column) -> Column:

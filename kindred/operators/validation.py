@@ -18,7 +18,7 @@ def _found(rule: str, severity: str, ids: DataFrame) -> DataFrame:
 def validate(lists: DataFrame, required: DataFrame, pool: DataFrame | None = None, candidates: DataFrame | None = None) -> DataFrame:
     """lists (s1, ids: comma list); required and pool (entity_id); candidates like lists. Rules without a
     finding have n = 0."""
-    split = lambda d: d.select("s1", F.filter(F.transform(F.split(F.coalesce("ids", F.lit("")), ","), F.trim), lambda x: x != "").alias("x"))
+    split = lambda d: d.select("s1", F.filter(F.transform(F.split(F.coalesce("ids", F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "").alias("x"))
     rows, s1 = split(lists), required.select("entity_id")
     each = rows.select("s1", F.explode("x").alias("id"))
     out = [

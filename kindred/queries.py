@@ -345,7 +345,8 @@ def metric_breakdown(spark, d):
 @query()
 def source_f05(spark, d):
     e, links, s1, q = _parts(spark, d)
-    return decisions.source_f05(_links(q), links, s1, "S2").unionByName(decisions.source_f05(_links(q), links, s1, "S3"))
+    won = _links(q).persist()
+    return decisions.source_f05(won, links, s1, "S2").unionByName(decisions.source_f05(won, links, s1, "S3"))
 
 
 def _grid_sql(cols: str, grid: str, condition: str) -> str:
@@ -382,7 +383,7 @@ def expected_f05_topk(spark, d):
 @query()
 def ablations(spark, d):
     e, links, s1, q = _parts(spark, d)
-    return decisions.ablations(q, links, s1, 0.5)
+    return decisions.ablations(q.persist(), links, s1, 0.5)
 
 
 @query(_with(_RANKED, """, grid AS (SELECT * FROM (SELECT unnest([0.4, 0.5, 0.6, 0.7]::DOUBLE[]) AS th_s2), (SELECT unnest([0.4, 0.5, 0.6, 0.7]::DOUBLE[]) AS th_s3)),
@@ -427,15 +428,16 @@ def _trained(spark, d):
 
 @query()
 def gbt_oof(spark, d):
-    return matching.out_of_fold(_trained(spark, d), rounds=4, depth=3).select("sid", "cid", "fold", "label", F.col("raw").alias("p"))
+    return matching.out_of_fold(_trained(spark, d), rounds=2, depth=3).select("sid", "cid", "fold", "label", F.col("raw").alias("p"))
 
 
 @query()
 def isotonic(spark, d):
-    scored = matching.score(matching.fit(_trained(spark, d), rounds=4, depth=3), _trained(spark, d))
+    data = _trained(spark, d)
+    scored = matching.score(matching.fit(data, rounds=2, depth=3), data)
     return matching.calibrated(matching.calibrate(scored), scored).select("sid", "cid", "raw", "p")
 
 
 @query()
 def loco(spark, d):
-    return matching.leave_country_out(_trained(spark, d), rounds=4, depth=3).select("sid", "cid", "country", "raw")
+    return matching.leave_country_out(_trained(spark, d), rounds=2, depth=3).select("sid", "cid", "country", "raw")
