@@ -9,6 +9,7 @@ volume, keep their full bins, exchange the documents of the others and pack agai
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +26,11 @@ BINS = 4096
 #: Partitions that exchange documents with one another in each round.
 MIX = 8
 #: Chunks of text whose ids a task remembers.
-CACHE = 300_000
+CACHE = 600_000
+
+
+#: A word of Latin-1 letters and a mark after it, perhaps a line end and the same again.
+_MADE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?))?")
 
 
 class Chunks:
@@ -46,10 +51,20 @@ class Chunks:
     def bytes_of(ids: list[int]) -> bytes:
         return np.array(ids, "<u4").tobytes()
 
+    def _words(self, known: dict[str, bytes], words: list[str], space: str) -> None:
+        new = list(dict.fromkeys(w for w in words if w not in known))
+        for word, got in zip(new, self.tokenizer.encode_batch_fast([space + w for w in new], add_special_tokens=False)):
+            known[word] = self.bytes_of(got.ids)
+
     def _learn(self, known: dict[str, bytes], chunks: list[str], space: str) -> None:
-        new = list(dict.fromkeys(c for c in chunks if c not in known))
-        for chunk, got in zip(new, self.tokenizer.encode_batch_fast([space + c for c in new], add_special_tokens=False)):
-            known[chunk] = self.bytes_of(got.ids)
+        """Words, marks after them and line ends are pre-tokens of their own, so chunks made of those are put
+        together from their words; others are encoded as they are."""
+        new = [c for c in dict.fromkeys(chunks) if c not in known]
+        made = [(c, m) for c in new if (m := _MADE.fullmatch(c))]
+        self._words(known, [m[1] for _, m in made] + [c for c in new if not _MADE.fullmatch(c)], space)
+        self._words(self.first, [x for _, m in made for x in (m[2], m[3] and "\n", m[3], m[4]) if x], "")
+        for c, m in made:
+            known[c] = known[m[1]] + b"".join(self.first[x] for x in (m[2], m[3] and "\n", m[3], m[4]) if x)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without the end id."""
