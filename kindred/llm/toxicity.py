@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from .common import small_batches
 from .words import NOT_ALNUM, mix, words_of
 
-#: Training takes at most so many labelled documents of each class, those of the smallest text hashes, and
-#: of texts up to so many characters.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 3000, 6000, 20_000
+#: Training takes at most so many labelled documents of each class, those of the smallest hashes of their
+#: ids, and of them the texts up to so many characters.
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 3000, 8000
 #: Word beginnings, in bytes, that are features beside the whole word.
 BEGINNINGS = (4, 5, 6)
 #: Features kept: in at least so many training documents, the most telling first.
@@ -144,11 +144,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     lab = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic")).where("toxic is not null and doc_id is not null")
     lab = lab.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     count = {r["toxic"] > 0: r["n"] for r in lab.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    fit_in = own.where(~held_out(F.col("doc_id")) & (F.length("text") <= TRAIN_CHARS)).join(lab, "doc_id")
-    rows = []
+    chosen = []
     for is_toxic, most in ((True, TRAIN_TOXIC), (False, TRAIN_CLEAN)):
-        part = fit_in.where((F.col("toxic") > 0) == F.lit(is_toxic)).select("text", F.xxhash64("text").alias("h"), "doc_id")
-        rows += [(r["text"].encode(), is_toxic) for r in part.orderBy("h", "doc_id").limit(most).collect()]
+        part = lab.where((F.col("toxic") > 0) == F.lit(is_toxic)).select(F.xxhash64("doc_id").alias("h"), "doc_id")
+        chosen += [(r["doc_id"], is_toxic) for r in part.orderBy("h", "doc_id").limit(most).collect()]
+    if not chosen:
+        return Model(np.zeros(0, np.uint64), np.zeros(0), -5.0)
+    ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, is_toxic boolean")  # no more rows than the sample's bound
+    some = own.where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(ids), "doc_id")
+    some = some.dropDuplicates(["doc_id"])  # repeated rows of an id do not lift the bound
+    rows = [(r["text"].encode(), r["is_toxic"]) for r in sorted(some.collect(), key=lambda r: r["doc_id"])]
     y = np.array([t for _, t in rows], bool)
     n = {k: max((y == k).sum(), 1) for k in (True, False)}
     weight = np.array([max(count.get(bool(t), 0), 1) / n[bool(t)] for t in y]) if len(y) else np.zeros(0)
