@@ -8,6 +8,7 @@ volume, keep their full bins, exchange the documents of the others and pack agai
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -25,18 +26,22 @@ CAPACITY = 2048
 BINS = 4096
 #: Partitions that exchange documents with one another in each round.
 MIX = 8
-#: Chunks of text whose ids a task remembers.
-CACHE = 600_000
+#: White-space runs from this length on go to the tokenizer file's own library: the other one's pattern backtracks.
+LONG_GAP = 100_000
 
 
-#: A word of Latin-1 letters and a mark after it, perhaps a line end and the same again.
-_MADE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?))?")
+def _byte_letters() -> dict[str, int]:
+    """The letters by which a byte-level vocabulary writes bytes: printable ones stand for themselves, the
+    others for the letters from U+0100 on, in order."""
+    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
-class Chunks:
-    """ids of whole texts by way of remembered chunks. Between two characters that are not white space, a
-    single space always begins a new pre-token, so the ids of such chunks (each with its space) are the
-    text's; any other text is encoded whole."""
+class Ids:
+    """Ids of whole texts by a byte-level BPE file of `tokenizers`. Where its merges are in the order of their
+    ids, merging by rank gives the same ids, and `tiktoken` does that several times as fast; tests compare
+    both. Other files, and texts with very long gaps, are encoded by `tokenizers` itself."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,46 +49,29 @@ class Chunks:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
+        self.fast = self._ranked(path)
+        self.gap = re.compile(r"\s{%d}" % LONG_GAP)
 
     @staticmethod
-    def bytes_of(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
-    def _words(self, known: dict[str, bytes], words: list[str], space: str) -> None:
-        new = list(dict.fromkeys(w for w in words if w not in known))
-        for word, got in zip(new, self.tokenizer.encode_batch_fast([space + w for w in new], add_special_tokens=False)):
-            known[word] = self.bytes_of(got.ids)
-
-    def _learn(self, known: dict[str, bytes], chunks: list[str], space: str) -> None:
-        """Words, marks after them and line ends are pre-tokens of their own, so chunks made of those are put
-        together from their words; others are encoded as they are."""
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        made = [(c, m) for c in new if (m := _MADE.fullmatch(c))]
-        self._words(known, [m[1] for _, m in made] + [c for c in new if not _MADE.fullmatch(c)], space)
-        self._words(self.first, [x for _, m in made for x in (m[2], m[3] and "\n", m[3], m[4]) if x], "")
-        for c, m in made:
-            known[c] = known[m[1]] + b"".join(self.first[x] for x in (m[2], m[3] and "\n", m[3], m[4]) if x)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, without the end id."""
-        if len(self.rest) + len(self.first) > CACHE:
-            self.first.clear()
-            self.rest.clear()
-        split = [t.split(" ") for t in texts]
-        known = self.rest
-        fresh = [c for cs in split for c in cs[1:] if c not in known]
-        clean = lambda c: c and not c[0].isspace() and not c[-1].isspace()
-        self._learn(known, [c for c in fresh if clean(c)], " ")
-        self._learn(self.first, [cs[0] for cs in split if clean(cs[0])], "")
-        out = []
-        for text, cs in zip(texts, split):
-            try:
-                out.append(self.first[cs[0]] + b"".join([known[c] for c in cs[1:]]))
-            except KeyError:
-                out.append(self.bytes_of(self.tokenizer.encode(text, add_special_tokens=False).ids))
-        return out
+    def _ranked(path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            whole = json.load(f)
+        model, split, letters = whole["model"], whole["pre_tokenizer"] or {}, _byte_letters()
+        vocab, merges = model.get("vocab", {}), model.get("merges", [])
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and not whole["normalizer"]
+        if model.get("type") != "BPE" or not plain or any(vocab.get("".join(m)) != 256 + k for k, m in enumerate(merges)):
+            return None
+        ranks = {bytes(letters[c] for c in piece): k for piece, k in vocab.items() if k < 256 + len(merges)}
+        return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids, without the end id."""
+        if self.fast is None or len(text) >= LONG_GAP and self.gap.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
 def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
@@ -93,11 +81,11 @@ def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bo
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks(path)
+        ids_of = Ids(path)
         for batch in batches:
             doc, piece, start, length, crc, ids = [], [], [], [], [], []
-            for k, got in enumerate(chunks.encode([t or "" for t in batch.column(1).to_pylist()])):
-                got += b"\0\0\0\0"
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                got = ids_of.encode(text or "") + b"\0\0\0\0"
                 n, low, nth = len(got) // 4, 0, 0
                 high = n if n <= capacity else n % capacity or capacity
                 while low < n:

@@ -381,6 +381,19 @@ def check_sequences(got):
         assert seq.offset.tolist() == [0, *seq.length.cumsum().tolist()[:-1]] and seq.length.sum() <= 2048
 
 
+def test_packing_ids():
+    from tokenizers import Tokenizer
+
+    path = llm.tokenizer_file("byte_bpe_50k.json")
+    own, model = packing.Ids(path), Tokenizer.from_file(path)
+    model.encode_special_tokens = True
+    assert own.fast
+    letters = [f"a{chr(c)}b {chr(c)}1{chr(c)}{chr(c)} .{chr(c)}.  {chr(c)}" for c in range(1, 0x3000)]
+    odd = ["", "<|endoftext|> x", " " * 200_000 + "x", "a" * 50_000, "it's  1\n\n \tx", "\x00\x85\xa0 \u3000y", "\U0001f600 नमस्ते 漢字"]
+    for text in letters + odd:
+        assert own.encode(text) == np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:20]
+
+
 def test_packing_exchange(spark):
     """Small partitions leave gaps; the exchange closes most of them."""
     rng = random.Random(4)
