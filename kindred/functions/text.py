@@ -65,13 +65,15 @@ def clean_brand(df: DataFrame, name: str) -> DataFrame:
     s = strip_accents(F.lower(F.trim(F.col(name))))
     s = F.regexp_replace(F.regexp_replace(s, f"(?i){HANDLE}", " "), f"(?i){DOMAIN}", " ")
     df = df.withColumn("__s", F.when(is_null_word(F.col(name)), "").otherwise(s))
+    which = F.coalesce(*(F.when(F.col("__s").rlike(f"(?U){pattern}"), k) for k, (pattern, _) in enumerate(LEGAL_FORMS)), F.lit(-1))
+    df = df.withColumn("__k", which)
     legal, rest = F.lit(""), F.col("__s")
-    for pattern, form in reversed(LEGAL_FORMS):
-        hit = F.col("__s").rlike(f"(?U){pattern}")
+    for k, (pattern, form) in reversed(list(enumerate(LEGAL_FORMS))):
+        hit = F.col("__k") == k
         legal, rest = F.when(hit, form).otherwise(legal), F.when(hit, F.regexp_replace("__s", f"(?U){pattern}", " ")).otherwise(rest)
     df = df.withColumns({"legal": legal, "__r": rest, "name_translit": has_devanagari(F.col(name)) & ~is_null_word(F.col(name))})
     latin = F.when(F.col("name_translit"), transliterate(F.col("__r"))).otherwise(F.col("__r"))
-    return df.withColumn("brand", collapse(F.regexp_replace(latin, NOT_WORD, " "))).drop("__s", "__r")
+    return df.withColumn("brand", collapse(F.regexp_replace(latin, NOT_WORD, " "))).drop("__s", "__k", "__r")
 
 
 def expand_street(words: Column) -> Column:

@@ -12,12 +12,14 @@ from ..functions.text import silver
 from ..operators import blocking, decisions
 from ..operators.features import exact
 from ..sources import entities as src
+from ..sources.scratch import written
 
 
 def candidates(entities: DataFrame, k: int = blocking.TOP_K, similar: bool = False) -> DataFrame:
     """Ranked candidates of every S1, with both sides' fields, rank_score, rank and p. One path for training
-    and prediction, so features never differ between them."""
-    s = silver(entities)
+    and prediction, so features never differ between them. The normalised fields, which five branches of the
+    plan read, are written once."""
+    s = written(silver(entities), "silver")
     pairs = blocking.blocked_pairs(blocking.keys(s)).select("sid", "cid").distinct()
     scored = blocking.overlap_score(blocking.with_sides(pairs, s))
     return blocking.top_k(blocking.composite_score(scored) if similar else scored, k)

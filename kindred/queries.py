@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from .functions.constants import ADDR_STOP, DOMAIN, FAMILIES, HANDLE, LEGAL_FORM
 from .operators import blocking, decisions, features, matching, validation
 from .plans import resolution
 from .sources import entities as src
+from .sources.scratch import written
 
 STEPS = [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 CONFIGS = [(a, b) for a in STEPS[1:5] for b in STEPS[1:5]]
@@ -31,7 +34,7 @@ def _silver(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _keys(spark: SparkSession, d: str) -> DataFrame:
-    return blocking.keys(_silver(spark, d))
+    return blocking.keys(written(_silver(spark, d), "silver"))
 
 
 def _sides(spark: SparkSession, d: str) -> DataFrame:
@@ -342,7 +345,11 @@ def metric_breakdown(spark, d):
     return decisions.breakdown(decisions.per_s1(_links(q), links, s1))
 
 
-@query()
+@query(_with(_WON, f""", srcs AS (SELECT unnest(['S2', 'S3']) AS k),
+a AS (SELECT left(x.cid, 2) AS k, x.sid, count(*) AS npred, count(l.cid) AS tp FROM won x LEFT JOIN links l ON l.s1id = x.sid AND l.cid = x.cid GROUP BY ALL),
+b AS (SELECT left(cid, 2) AS k, s1id AS sid, count(*) AS ntrue FROM links GROUP BY ALL),
+z AS (SELECT srcs.k, coalesce(npred, 0) AS npred, coalesce(tp, 0) AS tp, coalesce(ntrue, 0) AS ntrue FROM srcs CROSS JOIN s1 LEFT JOIN a ON a.k = srcs.k AND a.sid = s1.entity_id LEFT JOIN b ON b.k = srcs.k AND b.sid = s1.entity_id)
+SELECT k AS src, round(avg({_F05}), 6) AS macro_f05 FROM z GROUP BY k"""))
 def source_f05(spark, d):
     e, links, s1, q = _parts(spark, d)
     won = _links(q).persist()
@@ -380,7 +387,19 @@ def expected_f05_topk(spark, d):
     return q.select("sid", decisions.expected_f05_k(F.col("ps")).alias("k"))
 
 
-@query()
+def _ablations_sql() -> str:
+    ctes, rows = [], []
+    for excl, veto, cap in product((0, 1), repeat=3):
+        q = "SELECT * FROM ranked WHERE p >= 0.5" + excl * " QUALIFY row_number() OVER (PARTITION BY cid ORDER BY p DESC, sid) = 1"
+        q = f"SELECT * FROM ({q}) WHERE num_conflict = 0" if veto else q
+        q = f"SELECT * FROM ({q}) QUALIFY row_number() OVER (PARTITION BY sid, left(cid, 2) ORDER BY p DESC, cid) <= 3" if cap else q
+        name = f"a{excl}{veto}{cap}"
+        ctes.append(_scored(name, f"({q})"))
+        rows.append(f"SELECT {excl} AS excl, {veto} AS veto, {cap} AS cap, round(avg({_F05}), 6) AS macro_f05 FROM {name}")
+    return _with(_RANKED, ", " + ", ".join(ctes) + " " + " UNION ALL ".join(rows))
+
+
+@query(_ablations_sql())
 def ablations(spark, d):
     e, links, s1, q = _parts(spark, d)
     return decisions.ablations(q.persist(), links, s1, 0.5)
@@ -412,7 +431,22 @@ def match_lists(spark, d):
     return src.match_lists(s1, _links(q))
 
 
-@query()
+@query(_with(src.FIXTURE, """, g AS (SELECT truth_s1 AS s1, string_agg(entity_id, ',' ORDER BY entity_id) AS ids FROM ents WHERE truth_s1 IS NOT NULL GROUP BY truth_s1),
+l AS (SELECT * FROM g UNION ALL SELECT * FROM (VALUES ('S1-00000001', 'S1-00000002,S2-x,S2-x,Z9'), ('S1-99999999', ''))),
+r AS (SELECT s1, list_filter(string_split(ids, ','), lambda v: v <> '') AS x FROM l), e AS (SELECT s1, unnest(x) AS id FROM r),
+own AS (SELECT entity_id FROM ents WHERE entity_id LIKE 'S1-%'), pool AS (SELECT entity_id FROM ents WHERE entity_id NOT LIKE 'S1-%'),
+found AS (SELECT 'duplicate_s1' AS rule, s1 AS id FROM l GROUP BY s1 HAVING count(*) > 1
+  UNION ALL SELECT 'repeated_id', s1 FROM r WHERE len(x) <> len(list_distinct(x))
+  UNION ALL SELECT 'self_match', id FROM e WHERE id LIKE 'S1-%'
+  UNION ALL SELECT 'bad_prefix', id FROM e WHERE NOT regexp_matches(id, '^S[123]-')
+  UNION ALL SELECT 'missing_s1', entity_id FROM own WHERE entity_id NOT IN (SELECT s1 FROM l)
+  UNION ALL SELECT 'extra_s1', s1 FROM l WHERE s1 NOT IN (SELECT entity_id FROM own)
+  UNION ALL SELECT 'rows', s1 FROM l
+  UNION ALL SELECT 'empty_rows', s1 FROM r WHERE len(x) = 0
+  UNION ALL SELECT 'unknown_id', id FROM e WHERE regexp_matches(id, '^S[23]-') AND id NOT IN (SELECT entity_id FROM pool)
+  UNION ALL SELECT 'not_candidates', r.s1 FROM r LEFT JOIN g ON g.s1 = r.s1 WHERE len(list_filter(r.x, lambda v: NOT list_contains(string_split(coalesce(g.ids, ''), ','), v))) > 0),
+rules AS (SELECT * FROM (VALUES ('duplicate_s1', 'error'), ('repeated_id', 'error'), ('self_match', 'error'), ('bad_prefix', 'error'), ('missing_s1', 'error'), ('extra_s1', 'error'), ('rows', 'info'), ('empty_rows', 'info'), ('unknown_id', 'error'), ('not_candidates', 'warning')) v(rule, severity))
+SELECT rule, severity, count(id) AS n, coalesce(array_to_string(list_sort(list(DISTINCT id) FILTER (id IS NOT NULL))[1:5], ','), '') AS examples FROM rules LEFT JOIN found USING (rule) GROUP BY rule, severity"""))
 def validate_rules(spark, d):
     e = _ents(spark, d)
     s1, pool = e.where("entity_id LIKE 'S1-%'"), e.where("entity_id NOT LIKE 'S1-%'")
