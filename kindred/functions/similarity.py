@@ -31,13 +31,16 @@ def ratio(a: str, b: str) -> float:
 
 @lru_cache(100_000)
 def partial_ratio(a: str, b: str) -> float:
-    """Best ratio of the shorter against all windows of the longer, those over its ends included."""
+    """Best ratio of the shorter against all windows of the longer, those over its ends included. Of two equally
+    long ones, either may be cut."""
     if len(a) > len(b):
         a, b = b, a
     if not a:
         return 100.0 if not b else 0.0
     n = len(a)
-    return max(ratio(a, w) for w in {b[max(0, k) : min(len(b), k + n)] for k in range(1 - n, len(b))})
+    cuts = lambda t: {t[max(0, k) : min(len(t), k + n)] for k in range(1 - n, len(t))}
+    best = max(ratio(a, w) for w in cuts(b))
+    return max(best, *(ratio(w, b) for w in cuts(a))) if len(b) == n else best
 
 
 def _sorted(s: str) -> str:

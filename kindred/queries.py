@@ -257,6 +257,26 @@ def country_stats(spark, d):
     return blocking.country_stats(q, s1)
 
 
+def _lcs_sql(a: str, b: str) -> str:
+    """Rows of the table of longest common subsequences, one for each letter of a. Letters go as lists of one code."""
+    start = f"[list_transform(range(length({b}) + 1), lambda k: CAST(0 AS INT))]"
+    letters = f"list_transform(string_split({a}, ''), lambda c: [unicode(c)])"
+    cells = f"list_concat([[0]], list_transform(range(1, length({b}) + 1), lambda j: [r[j + 1], r[j], CAST(unicode({b}[j]) = x[1] AS INT)]))"
+    row = f"list_reduce({cells}, lambda t, u: list_append(t, CASE WHEN u[3] = 1 THEN u[2] + 1 ELSE greatest(u[1], t[-1]) END))"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE list_reduce(list_concat({start}, {letters}), lambda r, x: {row})[-1] END"
+
+
+def _ratio_sql(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = '' AND {b} = '' THEN 100.0 ELSE round(CAST(200 AS DOUBLE) * ({_lcs_sql(a, b)}) / (length({a}) + length({b})), 6) END"
+
+
+@query(_with(_RANKED, f""", o AS (SELECT DISTINCT sb, cb, array_to_string(list_sort(st), ' ') AS ss, array_to_string(list_sort(ct), ' ') AS cs FROM ranked),
+q AS (SELECT sb, cb, {_ratio_sql("sb", "cb")} AS ratio, {_ratio_sql("ss", "cs")} AS token_sort FROM o) SELECT sid, cid, CAST(ratio AS DOUBLE) AS ratio, CAST(token_sort AS DOUBLE) AS token_sort FROM ranked JOIN q USING (sb, cb)"""))
+def sim_ratios(spark, d):
+    q = _sides(spark, d)
+    return q.select("sid", "cid", F.round(sim.sim_ratio("s_brand", "c_brand"), 6).alias("ratio"), F.round(sim.sim_token_sort("s_brand", "c_brand"), 6).alias("token_sort"))
+
+
 @query()
 def sim_scores(spark, d):
     q = _sides(spark, d)
