@@ -30,7 +30,8 @@ def test_same_as_sql(spark, db, name):
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
     mine, theirs = sorted(map(plain, got.select(cols).collect())), sorted(map(plain, want.select(*cols).fetchall()))
-    assert mine == theirs and (mine or name in ("key_st_zip", "key_st_sn"))
+    # the derived entities hold no key of these families; test_rules.py has some of each
+    assert mine == theirs and (mine or name in ("key_st_zip", "key_st_sn", "key_addr_pair"))
 
 
 @pytest.mark.parametrize("name", sorted(set(linkage.QUERIES) - set(linkage.ORACLES)))

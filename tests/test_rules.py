@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import similarity as sim
 from kindred.functions import text
-from kindred.operators import decisions, validation
+from kindred.operators import blocking, decisions, validation
 from kindred.plans import resolution
 from kindred.sources import entities as src
 from kindred.streaming.incremental import resolve_stream
@@ -163,3 +163,29 @@ def test_exclusive_has_one_owner(spark):
     for sid, cid, p in rows:
         best[cid] = min(best.get(cid, (0.0, "")), (-p, sid))
     assert {r.cid: (-r.p, r.sid) for r in won} == best and len(won) == len(best)
+
+
+def test_every_key_family(spark):
+    """The derived entities have too few words for three of the families, so all thirteen are met here."""
+    rows = [("S2-1", "Al Foods Mart", "12 Old Parkside Mill Gate, 10185", "US"), ("S2-2", "", None, "US"), ("S2-3", "ab", "9", "US")]
+    got = blocking.keys(text.silver(spark.createDataFrame(rows, src.ENTITY))).collect()
+    of = {}
+    for r in got:
+        of.setdefault((r.entity_id, r.family), []).append(r.key)
+    assert {f: sorted(k) for (e, f), k in of.items() if e == "S2-1"} == {
+        "tok": ["foods", "mart"],
+        "bi": ["foods_mart"],
+        "pref4": ["food"],
+        "addr_tok": ["gate", "mill", "parkside"],
+        "addr_pair": ["gate|mill", "gate|old", "gate|parkside", "mill|old", "mill|parkside", "old|parkside"],
+        "zip_num": ["10185|12"],
+        "sn_w": ["12|gate", "12|mill", "12|old", "12|parkside"],
+        "zip_w": ["10185|mill", "10185|old", "10185|parkside"],
+        "st_zip": ["al|10185"],
+        "st_sn": ["al|12"],
+        "bn_sn": ["foods|12"],
+        "bn_zip": ["foods|10185"],
+        "skel": ["fds"],
+    }
+    assert not [e for e, _ in of if e == "S2-2"]
+    assert {f: k for (e, f), k in of.items() if e == "S2-3"} == {"st_sn": ["ab|9"]}
