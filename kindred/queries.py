@@ -173,7 +173,7 @@ def inv_distractor_rate(spark, d):
     return _ents(spark, d).where("entity_id NOT LIKE 'S1-%'").agg(F.round(F.count_if(F.col("truth_s1").isNull()) / F.count("*"), 6).alias("distractor_rate"))
 
 
-@query(_with(src.FIXTURE, "SELECT country, count(*) AS n, count_if(regexp_matches(business_name || ' ' || coalesce(business_address, ''), '[\\x{0900}-\\x{097F}]')) AS devanagari, count_if(regexp_matches(business_name || ' ' || coalesce(business_address, ''), '[^\\x00-\\x7F]')) AS non_ascii, round(100.0 * count_if(business_address IS NULL) / count(*), 4) AS no_address_pct FROM ents GROUP BY country"))
+@query(_with(src.FIXTURE, "SELECT country, count(*) AS n, CAST(count_if(regexp_matches(business_name || ' ' || coalesce(business_address, ''), '[\\x{0900}-\\x{097F}]')) AS BIGINT) AS devanagari, CAST(count_if(regexp_matches(business_name || ' ' || coalesce(business_address, ''), '[^\\x00-\\x7F]')) AS BIGINT) AS non_ascii, round(100.0 * count_if(business_address IS NULL) / count(*), 4) AS no_address_pct FROM ents GROUP BY country"))
 def script_counts(spark, d):
     t = F.concat_ws(" ", "business_name", "business_address")
     return _ents(spark, d).groupBy("country").agg(F.count("*").alias("n"), F.count_if(t.rlike("[\\x{0900}-\\x{097F}]")).alias("devanagari"), F.count_if(t.rlike("[^\\x00-\\x7F]")).alias("non_ascii"), F.round(100.0 * F.count_if(F.col("business_address").isNull()) / F.count("*"), 4).alias("no_address_pct"))
@@ -251,7 +251,7 @@ def topk_retention(spark, d):
     return blocking.retention(q, links)
 
 
-@query(_with(_RANKED, "SELECT country, count(*) AS s1, CAST(sum(coalesce(c, 0)) AS BIGINT) AS pairs, round(avg(coalesce(c, 0)), 6) AS mean_cands, count_if(c IS NULL) AS without FROM s1 LEFT JOIN (SELECT sid, count(*) AS c FROM ranked GROUP BY sid) ON sid = entity_id GROUP BY country"))
+@query(_with(_RANKED, "SELECT country, count(*) AS s1, CAST(sum(coalesce(c, 0)) AS BIGINT) AS pairs, round(avg(coalesce(c, 0)), 6) AS mean_cands, CAST(count_if(c IS NULL) AS BIGINT) AS without FROM s1 LEFT JOIN (SELECT sid, count(*) AS c FROM ranked GROUP BY sid) ON sid = entity_id GROUP BY country"))
 def country_stats(spark, d):
     e, _, s1, q = _parts(spark, d)
     return blocking.country_stats(q, s1)
@@ -303,7 +303,7 @@ def pair_features_v0(spark, d):
 
 @query(_with(_RANKED, """SELECT sid, cid, CAST(row_number() OVER (PARTITION BY sid ORDER BY p DESC, cid) - 1 AS INT) AS rank_comb, CAST(row_number() OVER (PARTITION BY sid, c_src ORDER BY p DESC, cid) - 1 AS INT) AS rank_within_src,
 round(max(p) OVER (PARTITION BY sid) - p, 6) AS gap_comb, round((p - avg(p) OVER (PARTITION BY sid)) / (stddev_pop(p) OVER (PARTITION BY sid) + 1e-5), 3) AS z_comb, count(*) OVER (PARTITION BY sid) AS n_cands,
-count_if(c_src = 'S2') OVER (PARTITION BY sid) AS n_s2, count_if(c_src = 'S3') OVER (PARTITION BY sid) AS n_s3 FROM ranked"""))
+CAST(count_if(c_src = 'S2') OVER (PARTITION BY sid) AS BIGINT) AS n_s2, CAST(count_if(c_src = 'S3') OVER (PARTITION BY sid) AS BIGINT) AS n_s3 FROM ranked"""))
 def group_context(spark, d):
     q = features.group_context(_sides(spark, d), "p", "p")
     return q.select("sid", "cid", "rank_comb", "rank_within_src", F.round("gap_comb", 6).alias("gap_comb"), F.round("z_comb", 3).alias("z_comb"), "n_cands", "n_s2", "n_s3")
