@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -148,17 +149,18 @@ def _scan(docs: DataFrame, tests: Tests) -> DataFrame:
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of docs: doc_id, text_hash, n_words and all longest verbatim matches with their
-    places. Repeated rows get a row each (with several blocks, one row for equal ones). Null and empty
-    texts have no words; an item with fewer words than a window is one window, one with none matches
-    nothing; a null item_id matches but has no name; an empty table gives no rows or no matches."""
+    places. Repeated rows get a row each, however many blocks there are. Null and empty texts have no
+    words; an item with fewer words than a window is one window, one with none matches nothing; a null
+    item_id matches but has no name; an empty table gives no rows or no matches."""
     small_batches(docs.sparkSession)
     blocks = benchmark_blocks(benchmark, window)
-    found = _scan(docs, blocks[0])
-    for block in blocks[1:]:
-        found = found.unionByName(_scan(docs, block))
-    if len(blocks) > 1:
-        found = found.groupBy("doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
-    return found
+    if len(blocks) == 1:
+        return _scan(docs, blocks[0])
+    found = reduce(DataFrame.unionByName, [_scan(docs, b).withColumn("block", F.lit(k)) for k, b in enumerate(blocks)])
+    # copies have equal matches in a block: one copy's are taken, and the row is repeated at the end
+    each = found.groupBy("doc_id", "text_hash", "block").agg(F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("matches").alias("matches"))
+    whole = each.groupBy("doc_id", "text_hash").agg(F.max("copies").alias("copies"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
+    return whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc_id", "text_hash", "n_words", "matches")
 
 
 def digest(found: DataFrame) -> DataFrame:

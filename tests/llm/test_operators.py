@@ -113,6 +113,26 @@ def test_decontaminate(spark, rows, monkeypatch, block_bytes):
     assert collected(kept, "doc_id", "text") == ordered((i, t) for (i, t), w in zip(mine, brute.decontaminate(mine, items)) if not w[-1])
 
 
+def test_decontaminate_blocks_keep_copies(spark, rows, monkeypatch):
+    """A benchmark of many blocks gives the rows, and the matches of each, that one block gives."""
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
+    items += [(505, " ".join(dict(rows)[912].split()[5:30])), (506, " ".join(dict(rows)[912].split()[40:55]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    mine = [*rows, (910, dict(rows)[910]), (None, None), (None, None), (None, ""), (None, "one"), (None, "one"), *[(982, "x " + items[3][1])] * 3]
+
+    def found():
+        out = decontaminate.benchmark_matches(frame(spark, mine), bench).collect()
+        return sorted(((r.doc_id is None, r.doc_id or 0, r.text_hash, r.n_words, sorted(map(tuple, r.matches))) for r in out))
+
+    one = found()
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1500)
+    assert len(decontaminate.benchmark_blocks(bench)) > 1
+    many = found()
+    assert len(many) == len(mine) and many == one
+    out = decontaminate.digest(decontaminate.benchmark_matches(frame(spark, mine), bench))
+    assert collected(out, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == ordered(brute.decontaminate(mine, items))
+
+
 def test_longest_matches(spark):
     item = " ".join(f"w{k}" for k in range(40))
     docs = frame(spark, [(1, "a b " + " ".join(f"W{k}," for k in range(8, 33)) + " c")])
