@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Thresholds of each source that a matcher's are chosen from: 0.30 to 0.95 by 0.025.
+GRID = [round(0.3 + 0.025 * k, 3) for k in range(27)]
+
 
 def precision_gate(threshold: float) -> Column:
     """The first rule that rejects a pair, 1 to 6, or 0. Needs the features and p."""
@@ -107,6 +110,12 @@ def source_grid(p: DataFrame, links: DataFrame, s1: DataFrame, steps: list[float
     return _grid(per, grid, links, s1, ["th_s2", "th_s3"])
 
 
+def best_cell(grid: DataFrame) -> tuple[float, float]:
+    """The first best (th_s2, th_s3) of a source grid."""
+    r = grid.orderBy(F.desc("macro_f05"), "th_s2", "th_s3").first()
+    return r.th_s2, r.th_s3
+
+
 def _grid(per: DataFrame, grid: DataFrame, links: DataFrame, s1: DataFrame, by: list[str]) -> DataFrame:
     """S1 without predictions score 1 if they have no link, else 0, so only those with some are counted for
     each cell; the rest comes from two totals."""
