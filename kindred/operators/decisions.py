@@ -78,6 +78,10 @@ def macro_f05(counts: DataFrame) -> DataFrame:
     return counts.agg(F.round(F.avg(f05(F.col("tp"), F.col("npred"), F.col("ntrue"))), 6).alias("macro_f05"))
 
 
+def f05_by_country(counts: DataFrame, name: str) -> DataFrame:
+    return counts.groupBy("country").agg(F.round(F.avg(f05(F.col("tp"), F.col("npred"), F.col("ntrue"))), 6).alias(name))
+
+
 def breakdown(counts: DataFrame) -> DataFrame:
     """Macro F0.5, micro precision and recall and mean predictions, for all, by country and by number of true links."""
     c = counts.withColumns({"f": f05(F.col("tp"), F.col("npred"), F.col("ntrue")), "k": F.least(F.col("ntrue"), F.lit(6)).cast("long")})

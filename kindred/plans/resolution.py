@@ -53,6 +53,11 @@ def learn(entities: DataFrame, links: DataFrame, **how) -> tuple[Learned, DataFr
     cell of the grid, by macro F0.5 over all S1; links that blocking misses count."""
     s1 = entities.where(F.col("entity_id").startswith("S1-"))
     data = written(matching.labelled(vector(candidates(entities, similar=True)), links), "training")
+    return learn_from(data, links, s1, **how)
+
+
+def learn_from(data: DataFrame, links: DataFrame, s1: DataFrame, **how) -> tuple[Learned, DataFrame]:
+    """learn() from labelled vectors."""
     models = matching.fold_models(data, **how)
     scored = written(matching.held_out(models, data).drop("x"), "out-of-fold")
     isotonic = matching.calibrate(scored)
@@ -62,6 +67,19 @@ def learn(entities: DataFrame, links: DataFrame, **how) -> tuple[Learned, DataFr
     return Learned(models, isotonic, *best, countries), p
 
 
+def leave_country_out(data: DataFrame, links: DataFrame, s1: DataFrame, **how) -> DataFrame:
+    """sid, cid, country, raw, p, won of every pair, scored by a model of the other countries and calibrated
+    and decided as the matcher of all would be; loco_f05 and oof_f05 of its country, the latter by
+    out-of-fold scores. Blocking keeps a candidate's claims in one country, so owners can be chosen among
+    all held-out pairs at once."""
+    m, seen = learn_from(data, links, s1, **how)
+    p = written(matching.calibrated(m.isotonic, matching.leave_country_out(data, **how)).select("sid", "cid", "country", "raw", "p"), "left-out")
+    won = decided(p, m)
+    figure = lambda q, name: decisions.f05_by_country(decisions.per_s1(q, links, s1), name)
+    out = p.join(won.select("sid", "cid", F.lit(True).alias("won")), ["sid", "cid"], "left").na.fill(False, ["won"])
+    return out.join(F.broadcast(figure(won, "loco_f05")), "country").join(F.broadcast(figure(decided(seen, m), "oof_f05")), "country")
+
+
 def resolve_learned(entities: DataFrame, m: Learned, th_s2: float | None = None, th_s3: float | None = None, seen: tuple[str, ...] | None = None, offset: float = 0.0) -> DataFrame:
     """sid, cid, country, p of the links by the mean of the fold models, calibrated."""
     p = matching.calibrated(m.isotonic, matching.averaged(m.models, matching.assembled(vector(candidates(entities, similar=True)))))

@@ -477,21 +477,25 @@ def validate_rules(spark, d):
 
 def _trained(spark, d):
     e = _ents(spark, d)
-    return matching.labelled(features.vector(resolution.candidates(e)), src.fixture_links(e)).cache()
+    return written(matching.labelled(features.vector(resolution.candidates(e)), src.fixture_links(e)), "training")
+
+
+def _out_of_fold(spark, d):
+    return written(matching.out_of_fold(_trained(spark, d)).drop("x"), "out-of-fold")
 
 
 @query()
 def gbt_oof(spark, d):
-    return matching.out_of_fold(_trained(spark, d), rounds=2, depth=3).select("sid", "cid", "fold", "label", F.col("raw").alias("p"))
+    return matching.out_of_fold(_trained(spark, d)).select("sid", "cid", "fold", "label", F.col("raw").alias("p"))
 
 
 @query()
 def isotonic(spark, d):
-    data = _trained(spark, d)
-    scored = matching.score(matching.fit(data, rounds=2, depth=3), data)
+    scored = _out_of_fold(spark, d)
     return matching.calibrated(matching.calibrate(scored), scored).select("sid", "cid", "raw", "p")
 
 
 @query()
 def loco(spark, d):
-    return matching.leave_country_out(_trained(spark, d), rounds=2, depth=3).select("sid", "cid", "country", "raw")
+    e = _ents(spark, d)
+    return resolution.leave_country_out(_trained(spark, d), src.fixture_links(e), e.where("entity_id LIKE 'S1-%'"))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kindred import queries
 from kindred.operators import decisions, matching
 from kindred.plans import resolution
 from kindred.sources import entities as src
@@ -71,3 +72,37 @@ def test_fold_average(spark):
         assert r.raw == pytest.approx(each[r.fold][r.sid, r.cid])
     top = matching.importances(models[0])
     assert len(top) == 15 and top == sorted(top, key=lambda x: -x[1])
+
+
+def test_registered_as_in_production(spark, monkeypatch):
+    """The queries fit the operator's trees, and calibrate scores that no pair's own model gave."""
+    fits = []
+
+    def fit(data, rounds=20, depth=5, plain=matching.fit):
+        fits.append((rounds, depth, {r[0] for r in data.select("fold").distinct().collect()}, {r[0] for r in data.select("country").distinct().collect()}))
+        return plain(data, 2, 2)
+
+    monkeypatch.setattr(matching, "fit", fit)
+    p = {(r.sid, r.cid): r.p for r in queries.gbt_oof(spark, SF).collect()}
+    assert [f[:3] for f in fits] == [(20, 5, set(range(5)) - {k}) for k in range(5)]
+    raw = {(r.sid, r.cid): r.raw for r in queries.isotonic(spark, SF).collect()}
+    assert raw == pytest.approx(p) and len(fits) == 10
+    rows = queries.loco(spark, SF).collect()
+    assert {r[:2] for r in fits} == {(20, 5)}
+    assert sorted(c for _, _, _, cs in fits[15:] for c in {"France", "India", "US"} - cs) == ["France", "India", "US"]
+    e = src.fixture(spark, SF)
+    links, true = {}, {}
+    for s, c in src.fixture_links(e).collect():
+        true.setdefault(s, set()).add(c)
+    for r in rows:
+        if r.won:
+            links.setdefault(r.sid, set()).add(r.cid)
+    owners = [r.cid for r in rows if r.won]
+    assert len(owners) == len(set(owners)) and len(rows) == len(p)
+    figures = {(r.country, r.loco_f05) for r in rows}
+    scores = {}
+    for r in e.where("entity_id LIKE 'S1-%'").collect():
+        got, want = links.get(r.entity_id, set()), true.get(r.entity_id, set())
+        f = float(got == want) if not got or not want else 1.25 * len(got & want) / (0.25 * len(want) + len(got))
+        scores.setdefault(r.country, []).append(f)
+    assert dict(figures) == pytest.approx({c: sum(x) / len(x) for c, x in scores.items()}, abs=1e-6)
