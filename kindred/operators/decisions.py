@@ -176,6 +176,22 @@ def threshold_sweep(p: DataFrame, s1: DataFrame, configs: list[tuple[float, floa
     return out.select("th_s2", "th_s3", F.round(F.col("links") / F.col("n"), 6).alias("links_per_s1"), F.round(1 - F.col("with_links") / F.col("n"), 6).alias("empty_rate"), F.round(dist, 6).alias("distance"))
 
 
+def country_sweep(p: DataFrame, s1: DataFrame, steps: dict[str, list[float]], deltas: list[float], empty: dict[str, float], links: dict[str, float]) -> DataFrame:
+    """Of exclusive pairs, all combinations of a threshold for each country and a rise for S3: links per S1 and
+    empty rate by country, and their distance from the targets, nearest first. Counts are taken by country,
+    threshold and rise, and then combined."""
+    cells = p.sparkSession.createDataFrame([(c, t, x) for c, own in steps.items() for t in own for x in deltas], "country string, th double, d_s3 double")
+    kept = p.select("sid", "cid", "country", "p").join(F.broadcast(cells), "country").where(F.col("p") >= F.col("th") + F.when(F.col("cid").startswith("S3-"), F.col("d_s3")).otherwise(0.0))
+    won = kept.groupBy("country", "th", "d_s3").agg(F.count("*").alias("l"), F.countDistinct("sid").alias("w"))
+    all_ = cells.join(won, ["country", "th", "d_s3"], "left").na.fill(0, ["l", "w"]).join(F.broadcast(s1.groupBy("country").agg(F.count("*").alias("n"))), "country", "left").na.fill(1, ["n"])
+    one = lambda c: all_.where(F.col("country") == c).select("d_s3", F.col("th").alias(f"th_{c.lower()}"), (F.col("l") / F.col("n")).alias(f"links_{c.lower()}"), (1 - F.col("w") / F.col("n")).alias(f"empty_{c.lower()}"))
+    out = reduce(lambda a, b: a.join(F.broadcast(b), "d_s3"), map(one, steps))
+    off = lambda kind, targets: reduce(lambda a, b: a + b, [F.abs(F.col(f"{kind}_{c.lower()}") - t) for c, t in targets.items()])
+    figures = [F.round(x, 6).alias(x) for x in out.columns if x.startswith(("links_", "empty_"))]
+    ths = [x for x in out.columns if x.startswith("th_")]
+    return out.select(*ths, "d_s3", *figures, F.round(2 * off("empty", empty) + 0.1 * off("links", links), 6).alias("distance")).orderBy("distance", *ths, "d_s3")
+
+
 def histogram(p: DataFrame, bins: int = 20) -> DataFrame:
     """Counts of p on [0, 1], the right edge closed, empty bins included."""
     own = p.groupBy(F.least(F.floor(F.col("p") * bins), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))

@@ -16,6 +16,7 @@ from .sources import entities as src
 from .sources.scratch import written
 
 STEPS = [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
+COUNTRY_STEPS = {"India": [0.52, 0.54, 0.56, 0.575], "US": [0.625, 0.65, 0.675, 0.7], "France": [0.6, 0.625, 0.65]}
 CONFIGS = [(a, b) for a in STEPS[1:5] for b in STEPS[1:5]]
 
 
@@ -401,6 +402,21 @@ def source_grid(spark, d):
     return decisions.source_grid(decisions.exclusive(q), links, s1, STEPS)
 
 
+_FINE_LIST = "[" + ", ".join(f"CAST({t} AS DOUBLE)" for t in decisions.GRID) + "]"
+
+
+@query(_grid_sql("threshold", f"SELECT unnest({_FINE_LIST}) AS threshold", "p >= threshold"))
+def threshold_grid_fine(spark, d):
+    e, links, s1, q = _parts(spark, d)
+    return decisions.threshold_grid(q, links, s1, decisions.GRID)
+
+
+@query(_grid_sql("th_s2, th_s3", f"SELECT * FROM (SELECT unnest({_FINE_LIST}) AS th_s2), (SELECT unnest({_FINE_LIST}) AS th_s3)", "p >= CASE WHEN cid LIKE 'S3-%' THEN th_s3 ELSE th_s2 END").replace("FROM ranked r LEFT JOIN links", "FROM (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY cid ORDER BY p DESC, sid) = 1) r LEFT JOIN links"))
+def source_grid_fine(spark, d):
+    e, links, s1, q = _parts(spark, d)
+    return decisions.source_grid(decisions.exclusive(q), links, s1, decisions.GRID)
+
+
 @query()
 def expected_f05_topk(spark, d):
     q = _sides(spark, d).groupBy("sid").agg(F.reverse(F.array_sort(F.collect_list("p"))).alias("ps"))
@@ -434,6 +450,20 @@ def threshold_sweep(spark, d):
     return decisions.threshold_sweep(q, s1, CONFIGS, 0.08, 3.1)
 
 
+@query(_with(_RANKED, """, grid AS (SELECT * FROM (SELECT unnest([0.52, 0.54, 0.56, 0.575]::DOUBLE[]) AS th_india), (SELECT unnest([0.625, 0.65, 0.675, 0.7]::DOUBLE[]) AS th_us), (SELECT unnest([0.6, 0.625, 0.65]::DOUBLE[]) AS th_france), (SELECT unnest([0.0, 0.02, 0.03]::DOUBLE[]) AS d_s3)),
+r AS (SELECT sid, cid, p, e.country AS c FROM ranked JOIN ents e ON e.entity_id = sid),
+won AS (SELECT grid.*, c, sid FROM r, grid WHERE p >= CASE c WHEN 'India' THEN th_india WHEN 'US' THEN th_us ELSE th_france END + CASE WHEN cid LIKE 'S3-%' THEN d_s3 ELSE 0 END
+  QUALIFY row_number() OVER (PARTITION BY th_india, th_us, th_france, d_s3, cid ORDER BY p DESC, sid) = 1),
+n AS (SELECT country AS c, count(*) AS n FROM ents WHERE entity_id LIKE 'S1-%' GROUP BY country),
+a AS (SELECT th_india, th_us, th_france, d_s3, n.c, any_value(n) AS n, count(won.sid) / any_value(n) AS l, 1 - count(DISTINCT won.sid) / any_value(n) AS e FROM grid CROSS JOIN n LEFT JOIN won USING (th_india, th_us, th_france, d_s3, c) GROUP BY ALL),
+b AS (SELECT th_india, th_us, th_france, d_s3, max(l) FILTER (c = 'India') AS li, max(l) FILTER (c = 'US') AS lu, max(l) FILTER (c = 'France') AS lf, max(e) FILTER (c = 'India') AS ei, max(e) FILTER (c = 'US') AS eu, max(e) FILTER (c = 'France') AS ef FROM a GROUP BY ALL)
+SELECT th_india, th_us, th_france, d_s3, round(li, 6) AS links_india, round(lu, 6) AS links_us, round(lf, 6) AS links_france, round(ei, 6) AS empty_india, round(eu, 6) AS empty_us, round(ef, 6) AS empty_france,
+ round(2 * (abs(ei - 0.0559) + abs(eu - 0.0558) + abs(ef - 0.056)) + 0.1 * (abs(li - 3.4645) + abs(lu - 3.4591)), 6) AS distance FROM b"""))
+def threshold_sweep_countries(spark, d):
+    e, _, s1, q = _parts(spark, d)
+    return decisions.country_sweep(decisions.exclusive(q), s1, COUNTRY_STEPS, [0.0, 0.02, 0.03], {"India": 0.0559, "US": 0.0558, "France": 0.056}, {"India": 3.4645, "US": 3.4591})
+
+
 @query(_with(_RANKED, "SELECT CAST(b AS INT) AS bin, count(p) AS n FROM (SELECT unnest(range(20)) AS b) LEFT JOIN ranked ON least(floor(p * 20), 19) = b GROUP BY b"))
 def prob_histogram(spark, d):
     return decisions.histogram(_sides(spark, d))
