@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import ADDR_STOP, FAMILIES, MAX_POSTINGS, NAME_STOP, TOP_K
 from ..functions.similarity import sim_token_set
-from ..functions.text import skeleton
+from ..functions.text import char_grams, skeleton
 
 def _join(*parts: Column) -> Column:
     return F.concat_ws("|", *parts)
@@ -54,6 +54,11 @@ def keys(silver: DataFrame) -> DataFrame:
     return df.select("entity_id", "src", "country", F.explode(rows).alias("r")).select("entity_id", "src", "country", "r.family", "r.key")
 
 
+def gram_keys(silver: DataFrame) -> DataFrame:
+    """Like keys(): the family of character 3- and 4-grams of the brand, all of them."""
+    return silver.select("entity_id", "src", "country", F.lit("char34").alias("family"), F.explode(char_grams(F.col("brand"))).alias("key"))
+
+
 def _tagged(family: str, values: Column) -> Column:
     return F.transform(values, lambda k: F.struct(F.lit(family).alias("family"), k.alias("key")))
 

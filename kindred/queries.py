@@ -218,6 +218,16 @@ def truncated_postings(spark, d):
     return blocking.truncated_postings(_keys(spark, d).where("family = 'tok'")).select("country", "family", "key", "entity_id")
 
 
+@query(_with(_KEYS, r""", t AS (SELECT entity_id, src, country, regexp_replace(brand, '\s+', '_', 'g') AS t FROM silver),
+grams AS (SELECT DISTINCT country, 'char34' AS family, substr(t, CAST(i AS INT), n) AS key, entity_id, src FROM (SELECT *, unnest(range(1, length(t) + 1)) AS i FROM t), (SELECT unnest([3, 4]) AS n) WHERE i + n - 1 <= length(t)),
+every AS (SELECT country, family, key, entity_id FROM keys WHERE src <> 'S1' UNION ALL SELECT country, family, key, entity_id FROM grams WHERE src <> 'S1' AND NOT starts_with(key, '__') AND NOT ends_with(key, '__'))
+SELECT country, family, key, entity_id FROM every WHERE family IN ('tok', 'pref4', 'char34', 'addr_tok', 'zip_num') QUALIFY row_number() OVER (PARTITION BY country, family, key ORDER BY entity_id) <= 60"""))
+def truncated_postings_families(spark, d):
+    s = written(_silver(spark, d), "silver")
+    every = blocking.keys(s).where(F.col("family").isin("tok", "pref4", "addr_tok", "zip_num")).unionByName(blocking.gram_keys(s))
+    return blocking.truncated_postings(every).select("country", "family", "key", "entity_id")
+
+
 @query(_with(_RANKED, "SELECT sid, cid, CAST(rank_score AS INT) AS rank_score, CAST(rank AS INT) AS rank, p FROM ranked"))
 def ranked_candidates(spark, d):
     return _sides(spark, d).select("sid", "cid", F.col("rank_score").cast("int").alias("rank_score"), "rank", "p")

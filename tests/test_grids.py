@@ -1,4 +1,4 @@
-"""The reference's whole grids; their rows are compared with SQL in test_oracles.py."""
+"""The reference's whole grids and truncated families; their rows are compared with SQL in test_oracles.py."""
 
 from kindred import queries
 
@@ -12,3 +12,13 @@ def test_whole_grids(spark):
     configs = queries.QUERIES["threshold_sweep_countries"](spark, SF).collect()
     assert len({(r.th_india, r.th_us, r.th_france, r.d_s3) for r in configs}) == len(configs) == 144
     assert [r.distance for r in configs] == sorted(r.distance for r in configs)
+
+
+def test_truncated_families(spark):
+    rows = queries.QUERIES["truncated_postings_families"](spark, SF).collect()
+    held = {}
+    for r in rows:
+        held.setdefault((r.country, r.family, r.key), []).append(r.entity_id)
+    assert {f for _, f, _ in held} == {"tok", "pref4", "char34", "addr_tok", "zip_num"}
+    assert max(map(len, held.values())) == 60 and all(len(set(x)) == len(x) or f != "char34" for (_, f, _), x in held.items())
+    assert {len(k) for _, f, k in held if f == "char34"} == {3, 4}
