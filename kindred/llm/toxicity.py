@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from .common import small_batches
 from .words import NOT_ALNUM, mix, words_of
 
-#: Training takes at most so many labelled documents of each class, those of the smallest hashes of their
-#: ids, and of them the texts up to so many characters.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 3000, 8000
+#: Training takes labelled documents of each class in order of the hashes of their ids, whole texts of any
+#: length, until it has so many of them or so many bytes: the document that reaches the bytes is the last.
+TRAIN_TOXIC, TRAIN_CLEAN = 1500, 3000
+TOXIC_BYTES, CLEAN_BYTES = 3 << 20, 6 << 20
 #: Word beginnings, in bytes, that are features beside the whole word.
 BEGINNINGS = (4, 5, 6)
 #: Features kept: in at least so many training documents, the most telling first.
@@ -137,21 +138,28 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """From labelled documents that are not held out: a sample of TRAIN_TOXIC and TRAIN_CLEAN documents
-    whose size no table changes. The classes' weights restore their share among all labelled rows. Rows
+    """From labelled documents that are not held out: a sample whose size no table changes, drawn from the
+    ids that docs has a text of. The classes' weights restore their share among all labelled rows. Rows
     with a null label or doc_id are left out; of several labels of a document, the largest counts."""
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     lab = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic")).where("toxic is not null and doc_id is not null")
     lab = lab.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     count = {r["toxic"] > 0: r["n"] for r in lab.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sizes = own.where("text is not null").select("doc_id", F.octet_length("text").alias("n")).groupBy("doc_id").agg(F.max("n").alias("n"))
+    present = lab.join(sizes, "doc_id")
     chosen = []
-    for is_toxic, most in ((True, TRAIN_TOXIC), (False, TRAIN_CLEAN)):
-        part = lab.where((F.col("toxic") > 0) == F.lit(is_toxic)).select(F.xxhash64("doc_id").alias("h"), "doc_id")
-        chosen += [(r["doc_id"], is_toxic) for r in part.orderBy("h", "doc_id").limit(most).collect()]
+    for is_toxic, most, most_bytes in ((True, TRAIN_TOXIC, TOXIC_BYTES), (False, TRAIN_CLEAN, CLEAN_BYTES)):
+        part = present.where((F.col("toxic") > 0) == F.lit(is_toxic)).select(F.xxhash64("doc_id").alias("h"), "doc_id", "n")
+        taken = 0
+        for r in part.orderBy("h", "doc_id").limit(most).collect():
+            if taken >= most_bytes:
+                break
+            taken += r["n"]
+            chosen.append((r["doc_id"], is_toxic))
     if not chosen:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -5.0)
     ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, is_toxic boolean")  # no more rows than the sample's bound
-    some = own.where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(ids), "doc_id")
+    some = own.where("text is not null").join(F.broadcast(ids), "doc_id")
     some = some.dropDuplicates(["doc_id"])  # repeated rows of an id do not lift the bound
     rows = [(r["text"].encode(), r["is_toxic"]) for r in sorted(some.collect(), key=lambda r: r["doc_id"])]
     y = np.array([t for _, t in rows], bool)

@@ -231,6 +231,28 @@ def test_vendor_spans(spark):
     assert [s.kind for s in secrets.findings(docs, secrets.scan(docs)).first().found] == ["pem", "vendor"]
 
 
+def test_toxicity_sample(spark, monkeypatch):
+    """Long texts are drawn like others, ids without a text are passed over, and the bytes are bounded."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, weight: seen.append((texts, y.tolist())))
+    ids = [i for i in range(400) if i % 20 != 3]
+    docs = [(i, None if i % 7 == 0 else f"{i} " + "word " * (4000 if i % 5 == 0 else 10)) for i in ids]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    own = {r.doc_id for r in labels.where(~toxicity.held_out(F.col("doc_id"))).collect()}
+    toxicity.train(frame(spark, docs), labels)
+    assert sorted(seen[0][0]) == sorted(t.encode() for i, t in docs if t and i in own) and max(map(len, seen[0][0])) > 8000
+    monkeypatch.setattr(toxicity, "TRAIN_TOXIC", 20)
+    monkeypatch.setattr(toxicity, "TRAIN_CLEAN", 30)
+    toxicity.train(frame(spark, docs), labels)
+    assert (sum(seen[1][1]), len(seen[1][1])) == (20, 50)
+    monkeypatch.setattr(toxicity, "TOXIC_BYTES", 50_000)
+    monkeypatch.setattr(toxicity, "CLEAN_BYTES", 50_000)
+    toxicity.train(frame(spark, docs), labels)
+    for y in (True, False):
+        sizes = [len(t) for t, x in zip(*seen[2]) if x == y]
+        assert 50_000 <= sum(sizes) < 50_000 + 21_000 or len(sizes) == (20 if y else 30)
+
+
 def test_urls(spark):
     pages = duckdb.sql(f"SELECT page_id, url FROM '{SF}/pages.parquet'").fetchall()
     pages += [(-1, None), (-2, ""), (-3, "no scheme"), (-4, "HTTP://EXAMPLE.COM"), (-5, "x://a.example.net/de/8?x"), (-6, "a://b://c/d"), (-7, "http://éÀ.org/es/x\ny#z"), (-8, "://com/en/"), (None, "http://h.com/")]
