@@ -32,8 +32,23 @@ RULES = (
     UrlRule("example.net", "/de/8", "block"),
     UrlRule("org", "/es/", "block"),
 )
-#: Suffixes of two labels under which domains are registered (a parameter; others have one label).
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.nz", "co.za")
+#: Suffixes of two labels under which domains are registered, by country (a parameter; others have one label).
+LONG_SUFFIXES = tuple(
+    f"{second}.{country}"
+    for country, seconds in {
+        "ae": "ac co gov net org sch", "ar": "com edu gob gov int mil net org", "at": "ac co gv or", "au": "asn com edu gov id net org", "bd": "ac com edu gov net org",
+        "br": "art blog com edu eco gov jus leg mil net org", "cn": "ac com edu gov mil net org", "co": "com edu gov mil net nom org", "cr": "ac co ed fi go or", "cy": "ac com gov net org",
+        "ec": "com edu fin gob gov net org", "eg": "com edu gov net org sci", "es": "com edu gob nom org", "fr": "asso com gouv nom", "gh": "com edu gov org", "gr": "com edu gov net org",
+        "hk": "com edu gov idv net org", "hu": "co org", "id": "ac co go mil net or sch web", "il": "ac co gov k12 muni net org", "in": "ac co edu firm gen gov ind mil net nic org res",
+        "ir": "ac co gov net org sch", "it": "edu gov", "jp": "ac ad co ed go gr lg ne or", "ke": "ac co go ne or sc", "kr": "ac co go hs kg mil ms ne or pe re sc", "lk": "ac com edu gov org",
+        "ma": "ac co gov net org", "mx": "com edu gob net org", "my": "com edu gov mil name net org", "ng": "com edu gov net org sch", "np": "com edu gov net org", "nz": "ac co cri geek gen govt iwi maori mil net org school",
+        "pe": "com edu gob mil net nom org", "ph": "com edu gov mil net org", "pk": "com edu gov net org", "pl": "com edu gov info net org waw", "pt": "com edu gov org", "py": "com edu gov org",
+        "ro": "com org", "rs": "ac co edu gov org", "ru": "com edu gov msk net org spb", "sa": "com edu gov net org sch", "sg": "com edu gov net org per", "th": "ac co go in mi net or",
+        "tr": "av bel com edu gen gov k12 mil name net org pol web", "tw": "com edu gov idv mil net org", "tz": "ac co go ne or", "ua": "com edu gov in kiev kyiv lviv net org", "ug": "ac co go or sc",
+        "uk": "ac co gov ltd me net nhs org plc police sch", "uy": "com edu gub net org", "ve": "co com edu gob gov net org", "vn": "ac com edu gov net org", "za": "ac co edu gov law mil net nom org school web", "zw": "ac co gov org",
+    }.items()
+    for second in seconds.split()
+)
 Z = 1.6448536269514722  #: one-sided 95 %
 LEAST_WEIGHT, MOST_WEIGHT = 1.0, 1000.0
 
@@ -55,15 +70,15 @@ def rule_of(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> C
     return F.coalesce(*hits)
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_of(host: Column, suffixes: tuple[str, ...] = LONG_SUFFIXES) -> Column:
     parts = F.split(host, "\\.")
     two = F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), ".")
-    return F.when(two.isin(*LONG_SUFFIXES), two).otherwise(F.element_at(parts, -1))
+    return F.when(two.isin(*suffixes), two).otherwise(F.element_at(parts, -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: tuple[str, ...] = LONG_SUFFIXES) -> Column:
     """The suffix and one label before it; the host itself if it has no more."""
-    parts, n = F.split(host, "\\."), F.size(F.split(suffix_of(host), "\\."))
+    parts, n = F.split(host, "\\."), F.size(F.split(suffix_of(host, suffixes), "\\."))
     return F.array_join(F.slice(parts, F.greatest(F.size(parts) - n, F.lit(1)), n + 1), ".")
 
 
@@ -82,14 +97,14 @@ def _weight(groups: DataFrame) -> tuple[float, float]:
     return mean, min(max(mean * (1 - mean) / between - 1, LEAST_WEIGHT), MOST_WEIGHT)
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
+def reputations(outcomes: DataFrame, suffixes: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
     """outcomes (host string, good boolean) -> host, domain, suffix, good, bad, rate, low, high: posterior
     mean and bounds of the good rate of every host in outcomes. Rows with good null count as unlabelled:
     their hosts are judged by domain and suffix alone. Grouping is partial on the map side, so one host may
     hold any share of the rows; a null host is the empty one."""
     one = outcomes.select(F.coalesce("host", F.lit("")).alias("host"), F.col("good").cast("int").alias("y"))
     hosts = one.groupBy("host").agg(F.coalesce(F.sum("y"), F.lit(0)).cast("double").alias("good"), F.coalesce(F.sum(1 - F.col("y")), F.lit(0)).cast("double").alias("bad"))
-    hosts = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    hosts = hosts.withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("good").alias("d_good"), F.sum("bad").alias("d_bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("d_good").alias("s_good"), F.sum("d_bad").alias("s_bad"))
     mean, w_suffix = _weight(suffixes.select(F.col("s_good").alias("good"), F.col("s_bad").alias("bad")))
@@ -106,7 +121,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     return h.select("host", "domain", "suffix", "good", "bad", "rate", F.greatest(F.lit(0.0), F.col("rate") - Z * sd).alias("low"), F.least(F.lit(1.0), F.col("rate") + Z * sd).alias("high"))
 
 
-def url_filter(pages: DataFrame, outcomes: DataFrame, threshold: float = 0.5, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
+def url_filter(pages: DataFrame, outcomes: DataFrame, threshold: float = 0.5, rules: tuple[UrlRule, ...] = RULES, suffixes: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
     """One row per row of pages (page_id, url; other columns are ignored): page_id, host, path, rule,
     verdict, rate, high. outcomes: (page_id, good), of labelled pages; a page with several counts each,
     one with none or a null adds nothing.
@@ -118,7 +133,7 @@ def url_filter(pages: DataFrame, outcomes: DataFrame, threshold: float = 0.5, ru
     url = pages["url"].cast("string")
     own = pages.select(pages["page_id"].cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     labelled = outcomes.select(outcomes["page_id"].cast("long").alias("page_id"), outcomes["good"].cast("boolean").alias("good"))
-    rep = reputations(own.join(labelled, "page_id", "left")).select(F.col("host").alias("rep_host"), F.xxhash64("host").alias("rep_key"), "rate", "high")
+    rep = reputations(own.join(labelled, "page_id", "left"), suffixes).select(F.col("host").alias("rep_host"), F.xxhash64("host").alias("rep_key"), "rate", "high")
     # the second key makes Spark shuffle both sides for this join, which lets it split a host's rows
     out = own.withColumn("key", F.xxhash64("host")).join(rep, (F.col("key") == rep["rep_key"]) & (F.col("host") == rep["rep_host"]), "left")
     hit = rule_of(F.col("host"), F.col("path"), rules)

@@ -231,6 +231,19 @@ def test_vendor_spans(spark):
     assert [s.kind for s in secrets.findings(docs, secrets.scan(docs)).first().found] == ["pem", "vendor"]
 
 
+def test_url_suffixes(spark):
+    """Sites under a public suffix are not pooled; the suffixes are an argument down to the verdict."""
+    hosts = ["a.b.gov.uk", "x.com.cn", "y.co.kr", "z.com.mx", "www.site.co.uk"]
+    d = spark.createDataFrame([(h,) for h in hosts], "h string")
+    assert [r[0] for r in d.select(urls.domain_of(F.col("h"))).collect()] == ["b.gov.uk", "x.com.cn", "y.co.kr", "z.com.mx", "site.co.uk"]
+    pages = spark.createDataFrame([(k, f"https://{'bad.zz.qq' if k < 40 else 'new.zz.qq' if k == 40 else 'good.com'}/") for k in range(81)], "page_id long, url string")
+    good = spark.createDataFrame([(k, k > 40) for k in range(81) if k != 40], "page_id long, good boolean")
+    rates = [urls.url_filter(pages, good, suffixes=x).where("page_id = 40").first().rate for x in ((), ("zz.qq",))]
+    assert len(set(urls.LONG_SUFFIXES)) == len(urls.LONG_SUFFIXES) and rates[0] != rates[1]
+    rep = urls.reputations(spark.createDataFrame([("bad.zz.qq", False), ("new.zz.qq", None)], "host string, good boolean"), ("zz.qq",))
+    assert {r.host: (r.domain, r.suffix) for r in rep.collect()} == {"bad.zz.qq": ("bad.zz.qq", "zz.qq"), "new.zz.qq": ("new.zz.qq", "zz.qq")}
+
+
 def test_toxicity_sample(spark, monkeypatch):
     """Long texts are drawn like others, ids without a text are passed over, and the bytes are bounded."""
     seen = []
