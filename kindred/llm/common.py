@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A key is hot if it has over a 4096th of all rows (and over 64): there are at most 4,096 of them.
+HOT_SHARE, LEAST_HOT = 4096, 64
 #: Rows and bytes of one Arrow batch. They bound a Python worker's memory, whatever the table's size.
 BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
@@ -49,3 +51,19 @@ def text_key(col: str = "text") -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def frequent(counts: DataFrame, key: str, n: str) -> DataFrame:
+    """The hot keys, as column hot, of a table (key, n) with a row for each key."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    return counts.where(F.col(n) > max(LEAST_HOT, total // HOT_SHARE)).select(F.col(key).alias("hot"))
+
+
+def hot_join(rows: DataFrame, key: str, table: DataFrame, table_key: str, hot: DataFrame) -> DataFrame:
+    """rows left join table (one row for each table_key, no null), where the rows of a hot key (see frequent())
+    never meet in one task: the few rows of table that they need are broadcast, and the others are shuffled.
+    Rows with a null key match nothing. Both tables are read twice, so they are to be stored ones."""
+    few = F.broadcast(hot)
+    wanted = table.join(few, table[table_key] == few["hot"], "left_semi")
+    most = rows.join(few, rows[key] == few["hot"], "left_anti")
+    return rows.join(F.broadcast(wanted), rows[key] == wanted[table_key]).unionByName(most.join(table, most[key] == table[table_key], "left"))

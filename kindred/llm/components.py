@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import frequent, hot_join, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long), each once in any direction -> (node long, root long); root is the smallest
     node of its component. Every round takes the least label around each node, then that label's own
     label, so rounds grow with the logarithm of the longest path. No table reaches the driver; what is
-    reread each round is written to the shared folder. Null ends are dropped; no edges: no rows."""
+    reread each round is written to the shared folder. Nodes with very many neighbours and labels of very
+    many nodes are looked up by broadcast (see hot_join), so no task reads all rows of one. Null ends are
+    dropped; no edges: no rows."""
     e = edges.where("a is not null and b is not null and a <> b")
     both = stored(e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    label = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("root")), "labels")
+    first = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"), F.count("*").alias("n")), "nodes")
+    hubs = frequent(first, "node", "n")
+    label = stored(first.select("node", F.least("node", "low").alias("root")), "labels")
     while True:
-        near = both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("root").alias("low"))
-        took = label.join(near, label["node"] == near["a"]).select("node", F.col("root").alias("was"), F.least("root", "low").alias("root"))
+        near = hot_join(both, "b", label, "node", hubs).groupBy("a").agg(F.min("root").alias("low"))
+        took = stored(label.join(near, label["node"] == near["a"]).select("node", F.col("root").alias("was"), F.least("root", "low").alias("root")), "labels")
+        large = frequent(took.groupBy("root").agg(F.count("*").alias("n")), "root", "n")
         up = took.select(F.col("node").alias("up_node"), F.col("root").alias("up_root"))
-        new = stored(
-            took.join(up, took["root"] == up["up_node"], "left").select("node", "was", F.least("root", F.coalesce("up_root", "root")).alias("root")), "labels"
-        )
+        new = stored(hot_join(took, "root", up, "up_node", large).select("node", "was", F.least("root", F.coalesce("up_root", "root")).alias("root")), "labels")
         label = new.select("node", "root")
         if new.where("was <> root").isEmpty():
             return label

@@ -10,6 +10,8 @@ import pytest
 import brute
 from kindred.llm import decontaminate, html, lm, packing, quality, secrets, simhash, substrings, toxicity, urls
 from kindred.llm import queries as llm
+from kindred.llm.common import frequent, hot_join
+from kindred.llm.components import components
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -147,10 +149,11 @@ def test_simhash(spark, rows):
     assert simhash.simhash_groups(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [8192, 2])
-def test_simhash_links(spark, monkeypatch, crowd):
-    """Random clusters; with a crowd of 2, most go by whole balls."""
+@pytest.mark.parametrize("crowd, at_once", [(1 << 18, 1 << 22), (2, 1 << 22), (60, 1 << 14)])
+def test_simhash_links(spark, monkeypatch, crowd, at_once):
+    """Random clusters; with a small crowd, buckets are split by further bits, and small slices are taken."""
     monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "AT_ONCE", at_once)
     rng = random.Random(11)
     fps = set()
     for _ in range(40):
@@ -184,6 +187,54 @@ def test_simhash_links(spark, monkeypatch, crowd):
     assert classes(edges) == classes(brute_links)
 
 
+def shuffle_reads(spark, run):
+    """Rows that the tasks of each stage read from shuffles, of all stages that run() starts."""
+    store = spark._jsc.sc().statusStore()
+    before = {s.stageId() for s in stages(spark, store)}
+    run()
+    out = []
+    for s in stages(spark, store):
+        if s.stageId() not in before and s.shuffleReadRecords():
+            tasks = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.taskList(s.stageId(), s.attemptId(), 10_000))
+            out.append([t.taskMetrics().get().shuffleReadMetrics().recordsRead() for t in tasks if t.taskMetrics().isDefined()])
+    return out
+
+
+def stages(spark, store):
+    none = spark._jvm.java.util.ArrayList()
+    return list(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.stageList(none, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), none)))
+
+
+def test_components_hub(spark):
+    """A hub and a chain's component with nine tenths of all nodes: right roots, and no task reads over three
+    times the median of its stage."""
+    n = 20_000
+    pairs = [(0, k) for k in range(1, n)] + [(n + 2 * k, n + 2 * k + 1) for k in range(n // 18)] + [(10**6 + k, 10**6 + k + 1) for k in range(40)]
+    edges = spark.createDataFrame(pairs, "a long, b long").repartition(4)
+    keep = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else small partitions are put together
+    try:
+        got = []
+        reads = shuffle_reads(spark, lambda: got.extend(components(edges).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", keep)
+    want = {k: 0 for k in range(n)} | {x: n + 2 * k for k in range(n // 18) for x in (n + 2 * k, n + 2 * k + 1)} | {10**6 + k: 10**6 for k in range(41)}
+    assert {r.node: r.root for r in got} == want and len(got) == len(want)
+    large = [r for r in reads if sum(r) > 2000]
+    assert large and all(max(r) <= 3 * max(sorted(r)[len(r) // 2], 1) for r in large), large
+    assert components(edges.limit(0)).count() == 0 and components(spark.createDataFrame([(1, None), (None, 2), (3, 3)], "a long, b long")).count() == 0
+
+
+def test_hot_join(spark):
+    """A key of most rows, a null key and a key that the table lacks: each row once."""
+    rows = spark.createDataFrame([(5, k) for k in range(300)] + [(None, 1), (7, 2), (8, 3)], "k long, v long")
+    table = spark.createDataFrame([(5, 50), (7, 70), (9, 90)], "t long, w long")
+    hot = frequent(rows.where("k is not null").groupBy("k").count(), "k", "count")
+    assert [r.hot for r in hot.collect()] == [5]
+    got = hot_join(rows, "k", table, "t", hot).select("k", "v", "w")
+    assert collected(got, "k", "v", "w") == ordered([(5, k, 50) for k in range(300)] + [(None, 1, None), (7, 2, 70), (8, 3, None)])
+
+
 def test_representatives(spark, rows):
     docs = frame(spark, rows)
     kept = simhash.keep_representatives(docs)
