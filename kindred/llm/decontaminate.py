@@ -8,15 +8,16 @@ found holds all its verbatim occurrences, which are chained into the longest mat
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_key
+from .common import small_batches, stored, text_key
 from .words import NOT_ALNUM, covered, words_of
 
 WINDOW = 10
@@ -117,20 +118,32 @@ def matches(tests: Tests, doc: np.ndarray, word: np.ndarray, test: np.ndarray) -
     return list(zip(doc[head].tolist(), item[head].tolist(), word[head].tolist(), offset[head].tolist(), (offset[tail] - offset[head] + size[tail]).tolist()))
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW) -> list[Tests]:
-    """The test windows in blocks of about BLOCK_BYTES, each read by itself. One block for any benchmark
-    up to that size."""
-    b = benchmark.select(benchmark["item_id"].cast("string").alias("item_id"), benchmark["text"].cast("string").alias("text"))
-    size = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // BLOCK_BYTES) or 1
-    key = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [Tests([(r[0], r[1]) for r in b.where(key == k).collect()], window) for k in range(n)]
+class Blocks(Sequence):
+    """The test windows in blocks of about BLOCK_BYTES of text, each read when it is asked for: the driver
+    holds one at a time. One block for any benchmark up to that size."""
 
+    def __init__(self, benchmark: DataFrame, window: int = WINDOW) -> None:
+        self.items = benchmark.select(benchmark["item_id"].cast("string").alias("item_id"), benchmark["text"].cast("string").alias("text"))
+        self.window = window
+        size = self.items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.n = -(-size // BLOCK_BYTES) or 1
 
-def _scan(docs: DataFrame, tests: Tests) -> DataFrame:
-    """doc_id, text_hash, n_words, matches of each row, in one pass and no shuffle."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(tests)
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, k: int) -> Tests:
+        if not 0 <= k < self.n:
+            raise IndexError(k)
+        own = self.items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(self.n)) == k) if self.n > 1 else self.items
+        return Tests([(r[0], r[1]) for r in own.collect()], self.window)
+
+
+def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW) -> Blocks:
+    return Blocks(benchmark, window)
+
+
+def _scan(docs: DataFrame, held: Broadcast) -> DataFrame:
+    """doc_id, text_hash, n_words, matches of each row with a broadcast block, in one pass and no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = held.value
@@ -149,18 +162,29 @@ def _scan(docs: DataFrame, tests: Tests) -> DataFrame:
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of docs: doc_id, text_hash, n_words and all longest verbatim matches with their
-    places. Repeated rows get a row each, however many blocks there are. Null and empty texts have no
+    places. Repeated rows get a row each, however many blocks there are: past one block, each block's matches
+    are written and then joined to all rows by id and text hash. Null and empty texts have no
     words; an item with fewer words than a window is one window, one with none matches nothing; a null
     item_id matches but has no name; an empty table gives no rows or no matches."""
     small_batches(docs.sparkSession)
-    blocks = benchmark_blocks(benchmark, window)
+    share, blocks = docs.sparkSession.sparkContext.broadcast, benchmark_blocks(benchmark, window)
     if len(blocks) == 1:
-        return _scan(docs, blocks[0])
-    found = reduce(DataFrame.unionByName, [_scan(docs, b).withColumn("block", F.lit(k)) for k, b in enumerate(blocks)])
-    # copies have equal matches in a block: one copy's are taken, and the row is repeated at the end
-    each = found.groupBy("doc_id", "text_hash", "block").agg(F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("matches").alias("matches"))
-    whole = each.groupBy("doc_id", "text_hash").agg(F.max("copies").alias("copies"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
-    return whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc_id", "text_hash", "n_words", "matches")
+        return _scan(docs, share(blocks[0]))
+    found = reduce(DataFrame.unionByName, [stored(found, f"block{k}") for k, found in enumerate(_hits(docs, blocks))])
+    whole = found.groupBy(F.col("doc_id").alias("in_doc"), F.col("text_hash").alias("in_hash")).agg(F.flatten(F.collect_list("matches")).alias("found"))
+    rows = _scan(docs, share(Tests([])))  # every row once, with its words
+    on = rows["doc_id"].eqNullSafe(whole["in_doc"]) & (rows["text_hash"] == whole["in_hash"])
+    return rows.join(whole, on, "left").select("doc_id", "text_hash", "n_words", F.coalesce("found", "matches").alias("matches"))
+
+
+def _hits(docs: DataFrame, blocks: Blocks) -> Iterator[DataFrame]:
+    """For each block, the rows with matches, copies once. A block is freed when the next one is asked for, so
+    each table is to be written before that."""
+    for tests in blocks:
+        held = docs.sparkSession.sparkContext.broadcast(tests)
+        # copies have equal matches: one copy's are taken
+        yield _scan(docs, held).where("size(matches) > 0").groupBy("doc_id", "text_hash").agg(F.first("matches").alias("matches"))
+        held.destroy()
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -185,16 +209,19 @@ def digest(found: DataFrame) -> DataFrame:
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with all their columns, without the rows that hold any window of the benchmark."""
     small_batches(docs.sparkSession)
-    for tests in benchmark_blocks(benchmark, window):
-        held = docs.sparkSession.sparkContext.broadcast(tests)
+    blocks = benchmark_blocks(benchmark, window)
+    if len(blocks) > 1:
+        found = reduce(DataFrame.unionByName, [stored(found, f"block{k}") for k, found in enumerate(_hits(docs, blocks))])
+        hits = found.select(F.col("doc_id").alias("__kd_hit_id"), F.col("text_hash").alias("__kd_hit_hash"))
+        return docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(hits["__kd_hit_id"]) & (text_key("text") == hits["__kd_hit_hash"]), "left_anti")
+    held = docs.sparkSession.sparkContext.broadcast(blocks[0])
 
-        def clean(texts, held=held):
-            import pandas as pd
+    def clean(texts):
+        import pandas as pd
 
-            raw = [(t or "").encode() for t in texts]
-            out = np.ones(len(raw), bool)
-            out[search(held.value, raw)[1]] = False
-            return pd.Series(out)
+        raw = [(t or "").encode() for t in texts]
+        out = np.ones(len(raw), bool)
+        out[search(held.value, raw)[1]] = False
+        return pd.Series(out)
 
-        docs = docs.where(F.pandas_udf(clean, "boolean")(docs["text"]))
-    return docs
+    return docs.where(F.pandas_udf(clean, "boolean")(docs["text"]))
