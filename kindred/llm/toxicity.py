@@ -1,8 +1,10 @@
 """Toxicity by multiple-instance learning: a document is toxic if any sentence is.
 
-A sentence's probability is logistic in its words and word beginnings; sentences combine by noisy-or,
-P = 1 - prod(1 - p_s); weights are trained from document labels alone, by gradient of the documents'
-likelihood, and then locate the offending sentences."""
+A sentence's probability is logistic in its words and word beginnings; sentences combine by noisy-or with
+a leak, P = 1 - (1 - leak) prod(1 - p_s). The leak is what no sentence explains, such as labels without a
+reason in the text: without it the sentences' own bias must, and long texts come to look toxic for their
+length. All is trained from document labels alone, by gradient of the documents' likelihood, and then
+locates the offending sentences."""
 
 from __future__ import annotations
 
@@ -26,6 +28,8 @@ BEGINNINGS = (4, 5, 6)
 #: Features kept: in at least so many training documents, the most telling first.
 LEAST_DOCS, MOST_FEATURES = 5, 20_000
 THRESHOLD = 0.3
+#: Steps of the fit, and its shrinkage.
+ROUNDS, L2 = 300, 1e-5
 _END = np.zeros(256, bool)
 _END[[0x0A, 0x21, 0x2E, 0x3F]] = True
 
@@ -53,6 +57,7 @@ class Model:
     features: np.ndarray  # sorted hashes
     weights: np.ndarray
     bias: float
+    leak: float = -5.0  # as a logit
 
     def logits(self, n: int, sentence: np.ndarray, kinds: list[np.ndarray]) -> np.ndarray:
         z = np.full(n, self.bias)
@@ -67,18 +72,17 @@ class Model:
         doc, sentence, starts, ends, kinds = features_of(texts)
         none = np.zeros(0, np.int64)
         if not len(doc):
-            return np.full(len(texts), 1 / (1 + np.exp(-self.bias))), none, none, none, np.zeros(0)
+            return np.full(len(texts), 1 / (1 + np.exp(-self.leak))), none, none, none, np.zeros(0)
         head = np.concatenate([[True], (sentence[1:] != sentence[:-1]) | (doc[1:] != doc[:-1])])
         own, first = np.cumsum(head) - 1, np.flatnonzero(head)
         z = self.logits(len(first), own, kinds)
         miss = np.bincount(doc[first], weights=-np.logaddexp(0, z), minlength=len(texts))
-        # every document has the empty sentence too, so texts without words have the least score
-        score = -np.expm1(miss - np.logaddexp(0, self.bias))
+        score = -np.expm1(miss - np.logaddexp(0, self.leak))
         last = np.concatenate([first[1:], [len(doc)]]) - 1
         return score, doc[first], starts[first], ends[last], 1 / (1 + np.exp(-z))
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray, rounds: int = 200, l2: float = 1e-3) -> Model:
+def fit(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS, l2: float = L2) -> Model:
     """Full-batch Adam on the weighted log likelihood of the documents' labels."""
     none = Model(np.zeros(0, np.uint64), np.zeros(0), -5.0)
     doc, sentence, _, _, kinds = features_of(texts)
@@ -115,21 +119,22 @@ def fit(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray, rounds: int =
         rows.append(own[hit])
         cols.append(place[hit])
     r, c = np.concatenate(rows), np.concatenate(cols)
-    w, b = np.zeros(len(names)), -5.0
-    m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    w, b, leak = np.zeros(len(names)), -5.0, -5.0
+    m, v = np.zeros(len(names) + 2), np.zeros(len(names) + 2)
     total = weight.sum()
     for t in range(1, rounds + 1):
         zs = b + np.bincount(r, weights=w[c], minlength=len(sent_doc))
         p = 1 / (1 + np.exp(-zs))
-        log_miss = np.bincount(sent_doc, weights=-np.logaddexp(0, zs), minlength=len(y)) - np.logaddexp(0, b)
+        log_miss = np.bincount(sent_doc, weights=-np.logaddexp(0, zs), minlength=len(y)) - np.logaddexp(0, leak)
         hit = -np.expm1(log_miss)
         pull = np.where(y > 0, np.exp(log_miss) / np.maximum(hit, 1e-12), -1.0) * weight
         g = p * pull[sent_doc]
-        grad = np.concatenate([np.bincount(c, weights=g[r], minlength=len(w)) / total - l2 * w, [(g.sum() + (pull / (1 + np.exp(-b))).sum()) / total]])
+        biases = [g.sum() / total, (pull / (1 + np.exp(-leak))).sum() / total]
+        grad = np.concatenate([np.bincount(c, weights=g[r], minlength=len(w)) / total - l2 * w, biases])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        w, b = w + step[:-1], b + step[-1]
-    return Model(names, w, float(b))
+        w, b, leak = w + step[:-2], b + step[-2], leak + step[-1]
+    return Model(names, w, float(b), float(leak))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -137,18 +142,19 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """From labelled documents that are not held out: a sample whose size no table changes, drawn from the
-    ids that docs has a text of. The classes' weights restore their share among all labelled rows. Rows
+def train(docs: DataFrame, labels: DataFrame, most_toxic: int | None = None, most_clean: int | None = None) -> Model:
+    """From labelled documents that are not held out: a sample whose size no table changes (most_toxic and
+    most_clean documents, by default TRAIN_TOXIC and TRAIN_CLEAN, and the bytes above), drawn from the ids that
+    docs has a text of. The classes' weights restore their share among all labelled rows. Rows
     with a null label or doc_id are left out; of several labels of a document, the largest counts."""
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     lab = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic")).where("toxic is not null and doc_id is not null")
     lab = lab.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    count = {r["toxic"] > 0: r["n"] for r in lab.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    count = {r["y"]: r["n"] for r in lab.groupBy((F.col("toxic") > 0).alias("y")).agg(F.count("*").alias("n")).collect()}
     sizes = own.where("text is not null").select("doc_id", F.octet_length("text").alias("n")).groupBy("doc_id").agg(F.max("n").alias("n"))
     present = lab.join(sizes, "doc_id")
     chosen = []
-    for is_toxic, most, most_bytes in ((True, TRAIN_TOXIC, TOXIC_BYTES), (False, TRAIN_CLEAN, CLEAN_BYTES)):
+    for is_toxic, most, most_bytes in ((True, most_toxic or TRAIN_TOXIC, TOXIC_BYTES), (False, most_clean or TRAIN_CLEAN, CLEAN_BYTES)):
         part = present.where((F.col("toxic") > 0) == F.lit(is_toxic)).select(F.xxhash64("doc_id").alias("h"), "doc_id", "n")
         taken = 0
         for r in part.orderBy("h", "doc_id").limit(most).collect():

@@ -103,10 +103,7 @@ def test_decontaminate(spark, rows, monkeypatch, block_bytes):
     mine = [*rows, (980, "x " + items[3][1].upper() + " y"), (981, "zzz! YYY.")]
     out = decontaminate.digest(decontaminate.benchmark_matches(frame(spark, mine), bench))
     got, want = collected(out, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"), ordered(brute.decontaminate(mine, items))
-    if block_bytes > 2000:
-        assert got == want
-    else:
-        assert set(got) == set(want)  # rows equal in id and text are one row there
+    assert got == want
     assert decontaminate.benchmark_matches(empty(spark), bench).count() == 0
     none = decontaminate.digest(decontaminate.benchmark_matches(frame(spark, rows), bench.limit(0)))
     assert none.where("contaminated").count() == 0
@@ -349,6 +346,21 @@ def test_toxicity(spark):
     assert out.score.between(0, 1).all() and (out.predicted == (out.score >= 0.3)).all()
 
 
+def test_toxicity_by_length():
+    """Held-out labelled documents of sf0.1: toxic ones are found whatever their length, and long clean ones
+    do not come to look toxic for their length."""
+    sf = "/root/testdata/sf0.1"
+    sql = f"SELECT doc_id, any_value(text), max(toxic) FROM '{sf}/documents.parquet' JOIN '{sf}/labels.parquet' USING (doc_id) WHERE text IS NOT NULL GROUP BY 1 ORDER BY 1"
+    data = [(zlib.crc32(str(i).encode()) % 4 == 2, t.encode(), y > 0, len(t)) for i, t, y in duckdb.sql(sql).fetchall()]
+    own, held = ([r for r in data if r[0] == k] for k in (False, True))
+    model = toxicity.fit([r[1] for r in own], np.array([r[2] for r in own]), np.ones(len(own)))
+    hit = model.score([r[1] for r in held])[0] >= toxicity.THRESHOLD
+    toxic, n = np.array([r[2] for r in held]), np.array([r[3] for r in held])
+    assert hit[toxic & (n <= 2000)].mean() > 0.8 and hit[toxic & (n > 2000)].mean() > 0.9
+    assert (toxic & (n > 8000)).sum() >= 5 and (~toxic & (n > 8000)).sum() > 40
+    assert hit[~toxic].mean() < 0.01 and hit[~toxic & (n > 8000)].sum() == 0
+
+
 def test_toxicity_learns_sentences(spark):
     rng = random.Random(2)
     plain = [f"word{k}" for k in range(300)]
