@@ -94,11 +94,12 @@ def update_ledger(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -
 
 
 def _by_blob(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """blob, found: its spans with the rule's place in the list, in order of start, then of that."""
-    place = F.coalesce(*(F.when(F.col("kind") == r.kind, F.lit(k)) for k, r in enumerate(rules)))
-    one = ledger.where("size(spans) > 0").withColumn("place", place)
+    """blob, found: its spans by these rules in these versions, with the rule's place in the list, in order of
+    start, then of that. Rows of other versions or kinds, and repeated rows of a pair, count for nothing."""
+    place = F.coalesce(*(F.when((F.col("kind") == r.kind) & (F.col("version") == r.version), F.lit(k)) for k, r in enumerate(rules)), F.lit(None).cast("int"))
+    one = ledger.where("size(spans) > 0").withColumn("place", place).where("place is not null")
     listed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("place").alias("place"), F.col("kind").alias("kind"), s["end"].alias("end")))
-    return one.select(F.col("blob").alias("found_blob"), listed.alias("found")).groupBy("found_blob").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
+    return one.select(F.col("blob").alias("found_blob"), listed.alias("found")).groupBy("found_blob").agg(F.array_distinct(F.array_sort(F.flatten(F.collect_set("found")))).alias("found"))
 
 
 def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -117,7 +118,8 @@ def listing(found: Column) -> Column:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with all their columns and rows; in text, each stretch that spans cover is replaced by mark.
-    n_chars, if there, follows the text that changed."""
+    n_chars, if there, follows the text that changed. Null and empty texts, and all others without a finding,
+    stay as they are; repeated rows stay; an empty table gives none."""
     ledger = stored(scan(docs, None, rules), "ledger")
     found = _by_blob(ledger, rules)
     text = F.col("text").cast("string")
