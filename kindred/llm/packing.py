@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ CAPACITY = 2048
 BINS = 4096
 #: Partitions that exchange documents with one another in each round.
 MIX = 8
+#: Fixed value: the pattern of a byte-level pre-tokenizer, which its files name but do not spell out.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White-space runs from this length on go to the tokenizer file's own library: the other one's pattern backtracks.
 LONG_GAP = 100_000
 
@@ -41,20 +44,25 @@ def _byte_letters() -> dict[str, int]:
 class Ids:
     """Ids of whole texts by a byte-level BPE file of `tokenizers`. Where its merges are in the order of their
     ids, merging by rank gives the same ids, and `tiktoken` does that several times as fast; tests compare
-    both. Other files, and texts with very long gaps, are encoded by `tokenizers` itself."""
+    both. Other files, and texts with very long gaps, are encoded by `tokenizers` itself.
 
-    def __init__(self, path: str) -> None:
+    special_as_text: the strings of special tokens in a text are ordinary text, as the description of the
+    public files sets it, so no document can write an end of text; else they become those tokens' ids, as the
+    library does where it is not told."""
+
+    def __init__(self, path: str, special_as_text: bool = True) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
+        self.special = None if special_as_text or not names else re.compile("|".join(map(re.escape, names)))
         self.fast = self._ranked(path)
         self.gap = re.compile(r"\s{%d}" % LONG_GAP)
 
     @staticmethod
     def _ranked(path: str):
-        import public_tokenizers
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
@@ -65,23 +73,24 @@ class Ids:
         if model.get("type") != "BPE" or not plain or any(vocab.get("".join(m)) != 256 + k for k, m in enumerate(merges)):
             return None
         ranks = {bytes(letters[c] for c in piece): k for piece, k in vocab.items() if k < 256 + len(merges)}
-        return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return tiktoken.Encoding("own", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids, without the end id."""
-        if self.fast is None or len(text) >= LONG_GAP and self.gap.search(text):
+        if self.fast is None or len(text) >= LONG_GAP and self.gap.search(text) or self.special and self.special.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
-def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = False, special_as_text: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of all pieces of all rows: the ids of the whole
     text, then id 0. A document over the capacity is cut from its end, so that only its first piece may be
-    shorter. Null and empty texts are the end id alone."""
+    shorter. Null and empty texts are the end id alone. A null doc_id stays; repeated rows are rows of their
+    own; an empty table gives none; other columns are ignored. special_as_text: see Ids."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = Ids(path)
+        ids_of = Ids(path, special_as_text)
         for batch in batches:
             doc, piece, start, length, crc, ids = [], [], [], [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
@@ -168,7 +177,10 @@ def _pack(capacity: int):
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, bins: int = BINS) -> DataFrame:
     """pieces with sequence_id and offset. Every row is placed once; a sequence holds at most capacity
-    tokens, gapless from 0. Equal rows are packed as the rows that they are. No rows: no sequences."""
+    tokens, gapless from 0. Equal rows are packed as the rows that they are. No rows: no sequences.
+
+    part_bins and part_bound certify the partition that placed a row: the sequences that it took, and the lower
+    bound of its lengths by dual feasible functions (both 1 for a piece that fills a sequence by itself)."""
     full = F.col("length") >= capacity
     own = stored(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     lengths = {r["length"]: r["n"] for r in own.where(~full).groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most one row for each length
@@ -189,9 +201,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bins: int = BINS) -> DataF
         parts, rounds = -(-parts // MIX), rounds + 1
         # an earlier place is known by its sequence, which is unique among partitions
         todo = named.where(gap).select("uid", "length", F.floor(F.col("part") / MIX).alias("part"), F.col("sequence_id").alias("bin"), "offset")
-    place = done[0].select("uid", "sequence_id", "offset")
-    for d in done[1:]:
-        place = place.unionByName(d.select("uid", "sequence_id", "offset"))
+    place = reduce(DataFrame.unionByName, [d.select("uid", "sequence_id", "offset", F.col("n_bins").alias("part_bins"), F.greatest("bound", "volume").alias("part_bound")) for d in done])
     short = own.where(~full).join(place, "uid")
-    whole = own.where(full).withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("long")})
+    whole = own.where(full).withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("long"), "part_bins": F.lit(1).cast("long"), "part_bound": F.lit(1).cast("long")})
     return short.unionByName(whole).drop("uid")
+
+
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row about the rows of pack(): pieces, sequences, and bound, the sequences that any packing of the
+    same lengths takes at least. sequences - bound is how far from the best it can be."""
+    counts = {r["length"]: r["n"] for r in packed.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most one row for each length
+    least = counts.get(capacity, 0) + lower_bound(np.array([counts.get(n, 0) if n < capacity else 0 for n in range(capacity + 1)], np.int64), capacity)
+    used = packed.select("sequence_id").distinct().agg(F.count("*").alias("sequences"))
+    return used.select(F.lit(sum(counts.values())).cast("long").alias("pieces"), "sequences", F.lit(least).cast("long").alias("bound"))
