@@ -26,22 +26,36 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); only where that is unset, as in
-    local tests, a folder of our own."""
+    """The folder that the cluster shares (spark.checkpoint.dir). Only a local master may leave it unset, as
+    in tests: it then gets a folder of its own. Elsewhere every executor would write to its own disk."""
     got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not got:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         got = tempfile.mkdtemp(prefix="kindred-")
         spark.conf.set("spark.checkpoint.dir", got)
     return got.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/kindred-{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it again: costly steps run once, lineage is
     cut, and a lost executor costs no more than the tasks it was running."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kindred-{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables of stored() that no plan reads any more."""
+    for table_ in tables:
+        for file in {f.rsplit("/", 1)[0] for f in table_.inputFiles()}:
+            at = spark._jvm.org.apache.hadoop.fs.Path(file)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def text_key(col: str = "text") -> Column:

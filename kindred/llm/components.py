@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frequent, hot_join, stored
+from .common import dropped, frequent, hot_join, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,12 +20,15 @@ def components(edges: DataFrame) -> DataFrame:
     first = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"), F.count("*").alias("n")), "nodes")
     hubs = frequent(first, "node", "n")
     label = stored(first.select("node", F.least("node", "low").alias("root")), "labels")
+    spark = edges.sparkSession
     while True:
         near = hot_join(both, "b", label, "node", hubs).groupBy("a").agg(F.min("root").alias("low"))
         took = stored(label.join(near, label["node"] == near["a"]).select("node", F.col("root").alias("was"), F.least("root", "low").alias("root")), "labels")
         large = frequent(took.groupBy("root").agg(F.count("*").alias("n")), "root", "n")
         up = took.select(F.col("node").alias("up_node"), F.col("root").alias("up_root"))
         new = stored(hot_join(took, "root", up, "up_node", large).select("node", "was", F.least("root", F.coalesce("up_root", "root")).alias("root")), "labels")
+        dropped(spark, label, took)
         label = new.select("node", "root")
         if new.where("was <> root").isEmpty():
+            dropped(spark, both, first)
             return label

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, html, lm, packing, quality, secrets, simhash, substrings, toxicity, urls
-from .common import stored, table
+from .common import scratch, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -24,8 +24,9 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By a ledger that begins with this run, so that what it returns rests on no earlier one."""
     docs = table(spark, sf_dir, "documents")
-    found = secrets.findings(docs, stored(secrets.scan(docs), "ledger"))
+    found = secrets.findings(docs, secrets.update_ledger(docs, scratch(spark, "ledger")))
     base = F.filter("found", lambda s: s["place"] < len(secrets.BASE))
 
     def count(kind: str) -> Column:
@@ -62,7 +63,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenized(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
-    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "part_bins", "part_bound")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
