@@ -3,13 +3,14 @@
 Labelled pages give each host its good and bad outcomes. A host's rate is shrunk towards its registered
 domain's, that towards its suffix's, that towards the whole: each level's posterior mean is the mean of
 the beta prior one level down, and the prior's weight (in pages) is fitted at each level by the method of
-moments. A host is blocked if it is bad with confidence: if the upper bound of its posterior good rate
-lies under a threshold. Hand-written rules come first."""
+moments. A host is blocked if it is bad with confidence: if the upper bound of its posterior good rate, a
+quantile of its beta distribution, lies under a threshold. Hand-written rules come first."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,9 @@ LONG_SUFFIXES = tuple(
     }.items()
     for second in seconds.split()
 )
-Z = 1.6448536269514722  #: one-sided 95 %
+CONFIDENCE = 0.95  #: one-sided, of the bounds
+#: Steps and terms of the bounds: the quantile's interval is halved so often; the fraction has so many levels.
+HALVINGS, LEVELS = 40, 60
 LEAST_WEIGHT, MOST_WEIGHT = 1.0, 1000.0
 
 
@@ -70,16 +73,71 @@ def rule_of(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> C
     return F.coalesce(*hits)
 
 
+def name_of(host: Column) -> Column:
+    """A host as written in a url without a user before it, a port after it and a root dot at its end."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), "\\.?(:[0-9]*)?$", "")
+
+
+def is_address(host: Column) -> Column:
+    """Whether a host is an IP address, which has no domain: it is a suffix of its own."""
+    return host.rlike("^([0-9]{1,3}\\.){3}[0-9]{1,3}$") | host.startswith("[")
+
+
 def suffix_of(host: Column, suffixes: tuple[str, ...] = LONG_SUFFIXES) -> Column:
     parts = F.split(host, "\\.")
     two = F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), ".")
-    return F.when(two.isin(*suffixes), two).otherwise(F.element_at(parts, -1))
+    return F.when(is_address(host), host).when(two.isin(*suffixes), two).otherwise(F.element_at(parts, -1))
 
 
 def domain_of(host: Column, suffixes: tuple[str, ...] = LONG_SUFFIXES) -> Column:
     """The suffix and one label before it; the host itself if it has no more."""
     parts, n = F.split(host, "\\."), F.size(F.split(suffix_of(host, suffixes), "\\."))
-    return F.array_join(F.slice(parts, F.greatest(F.size(parts) - n, F.lit(1)), n + 1), ".")
+    return F.when(is_address(host), host).otherwise(F.array_join(F.slice(parts, F.greatest(F.size(parts) - n, F.lit(1)), n + 1), "."))
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """By Stirling's series, from x + 8 on."""
+    shift = np.log(np.prod([x + k for k in range(8)], axis=0))
+    y = x + 8
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
+
+
+def beta_below(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The chance that a beta variable is below x: the regularised incomplete beta function, by its continued
+    fraction on the side where that converges fast."""
+    flip = x > (a + 1) / (a + b + 2)
+    x, a, b = np.where(flip, 1 - x, x), np.where(flip, b, a), np.where(flip, a, b)
+    front = np.exp(log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * np.log(np.maximum(x, 1e-300)) + b * np.log1p(-np.minimum(x, 1 - 1e-16))) / a
+    value = np.ones_like(x)
+    for k in range(LEVELS, 0, -1):
+        m = k // 2
+        step = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)) if k % 2 == 0 else -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        value = 1 + step / value
+    tail = np.clip(front / value, 0, 1)
+    return np.where(flip, 1 - tail, tail)
+
+
+def beta_quantile(q: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """By halving: monotone, and within 2^-40 whatever the shape."""
+    low, high = np.zeros(len(a)), np.ones(len(a))
+    for _ in range(HALVINGS):
+        mid = (low + high) / 2
+        under = beta_below(mid, a, b) < q
+        low, high = np.where(under, mid, low), np.where(under, high, mid)
+    return (low + high) / 2
+
+
+def bounds(a: Column, b: Column) -> Column:
+    """Struct (low, high): the bounds of a beta distribution, each with CONFIDENCE; one row for each host."""
+
+    @F.pandas_udf("low double, high double")
+    def run(x, y):
+        import pandas as pd
+
+        x, y = np.maximum(x.to_numpy(float), 1e-9), np.maximum(y.to_numpy(float), 1e-9)
+        return pd.DataFrame({"low": beta_quantile(1 - CONFIDENCE, x, y), "high": beta_quantile(CONFIDENCE, x, y)})
+
+    return run(a, b)
 
 
 def _weight(groups: DataFrame) -> tuple[float, float]:
@@ -99,12 +157,14 @@ def _weight(groups: DataFrame) -> tuple[float, float]:
 
 def reputations(outcomes: DataFrame, suffixes: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
     """outcomes (host string, good boolean) -> host, domain, suffix, good, bad, rate, low, high: posterior
-    mean and bounds of the good rate of every host in outcomes. Rows with good null count as unlabelled:
+    mean and bounds of the good rate of every host in outcomes. User, port and root dot do not belong to the
+    names that domains are found from; IP addresses are domains of their own. Rows with good null count as unlabelled:
     their hosts are judged by domain and suffix alone. Grouping is partial on the map side, so one host may
     hold any share of the rows; a null host is the empty one."""
     one = outcomes.select(F.coalesce("host", F.lit("")).alias("host"), F.col("good").cast("int").alias("y"))
     hosts = one.groupBy("host").agg(F.coalesce(F.sum("y"), F.lit(0)).cast("double").alias("good"), F.coalesce(F.sum(1 - F.col("y")), F.lit(0)).cast("double").alias("bad"))
-    hosts = hosts.withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)})
+    hosts = hosts.withColumn("name", name_of(F.col("host")))
+    hosts = hosts.withColumns({"domain": domain_of(F.col("name"), suffixes), "suffix": suffix_of(F.col("name"), suffixes)})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("good").alias("d_good"), F.sum("bad").alias("d_bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("d_good").alias("s_good"), F.sum("d_bad").alias("s_bad"))
     mean, w_suffix = _weight(suffixes.select(F.col("s_good").alias("good"), F.col("s_bad").alias("bad")))
@@ -117,8 +177,9 @@ def reputations(outcomes: DataFrame, suffixes: tuple[str, ...] = LONG_SUFFIXES)
     s = suffixes.select("suffix", shrunk("s_good", "s_bad", F.lit(mean), w_suffix).alias("s_rate"))
     d = domains.join(s, "suffix").select("domain", shrunk("d_good", "d_bad", F.col("s_rate"), w_domain).alias("d_rate"))
     h = hosts.join(d, "domain").withColumn("rate", shrunk("good", "bad", F.col("d_rate"), w_host))
-    sd = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("good") + F.col("bad") + w_host + 1))
-    return h.select("host", "domain", "suffix", "good", "bad", "rate", F.greatest(F.lit(0.0), F.col("rate") - Z * sd).alias("low"), F.least(F.lit(1.0), F.col("rate") + Z * sd).alias("high"))
+    weight = F.col("good") + F.col("bad") + w_host
+    h = h.withColumn("bounds", bounds(F.col("rate") * weight, (1 - F.col("rate")) * weight))
+    return h.select("host", "domain", "suffix", "good", "bad", "rate", "bounds.low", "bounds.high")
 
 
 def url_filter(pages: DataFrame, outcomes: DataFrame, threshold: float = 0.5, rules: tuple[UrlRule, ...] = RULES, suffixes: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
