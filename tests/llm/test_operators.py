@@ -309,6 +309,34 @@ def test_url_suffixes(spark):
     assert {r.host: (r.domain, r.suffix) for r in rep.collect()} == {"bad.zz.qq": ("bad.zz.qq", "zz.qq"), "new.zz.qq": ("new.zz.qq", "zz.qq")}
 
 
+def test_beta_bounds():
+    """Quantiles against counted draws and closed forms, at extreme shapes too."""
+    x = np.array([0.05, 0.3, 0.5, 0.9, 0.999])
+    one = np.ones_like(x)
+    assert np.allclose(urls.beta_below(x, one, one), x) and np.allclose(urls.beta_below(x, 3 * one, one), x**3) and np.allclose(urls.beta_below(x, one, 4 * one), 1 - (1 - x) ** 4)
+    rng = np.random.default_rng(3)
+    for a, b in ((0.05, 2.0), (0.5, 0.5), (2.0, 30.0), (400.0, 3.0), (5000.0, 5000.0), (0.2, 900.0)):
+        draws = rng.beta(a, b, 200_000)
+        for q in (0.05, 0.5, 0.95):
+            at = urls.beta_quantile(q, np.array([a]), np.array([b]))[0]
+            assert abs((draws < at).mean() - q) < 0.006 or at < 1e-12, (a, b, q)
+
+
+def test_reputation_decides(spark):
+    """Rules aside, the method's verdict is the posterior bound's: a bad host and the unlabelled hosts of a bad
+    domain are blocked, one bad page of a new host is not enough, and user, port and root dot change nothing."""
+    rows = [(f"http://{h}/p{k}", good) for h, n, good in (("spam.bad.com", 80, False), ("more.bad.com", 80, False), ("fine.good.com", 150, True), ("www.good.com", 150, True)) for k in range(n)]
+    rows += [("http://one.fresh.com/", False), ("http://new.bad.com/x", None), ("http://u:p@spam.bad.com:8080/z", None), ("http://spam.bad.com./z", None), ("http://10.0.0.1/", None), ("http://new.good.com/", None), ("http://x.bad.com/en/1", None)]
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string")
+    good = spark.createDataFrame([(k, g) for k, (_, g) in enumerate(rows) if g is not None], "page_id long, good boolean")
+    got = {r.host: r for r in urls.url_filter(pages, good).collect()}
+    blocked = {h for h, r in got.items() if r.verdict == "block"}
+    assert blocked == {"spam.bad.com", "more.bad.com", "new.bad.com", "u:p@spam.bad.com:8080", "spam.bad.com.", "x.bad.com"}
+    assert got["x.bad.com"].rule == "com/en/" and all(got[h].rule is None for h in blocked - {"x.bad.com"})
+    d = spark.createDataFrame([("10.0.0.1",), ("[::1]:80",)], "h string").select(urls.domain_of(F.col("h")), urls.suffix_of(urls.name_of(F.col("h"))))
+    assert [tuple(r) for r in d.collect()] == [("10.0.0.1", "10.0.0.1"), ("[::1]:80", "[::1]")]
+
+
 def test_toxicity_sample(spark, monkeypatch):
     """Long texts are drawn like others, ids without a text are passed over, and the bytes are bounded."""
     seen = []
@@ -460,6 +488,56 @@ def test_lm(spark, rows):
     assert lm.lm_scores(empty(spark), llm.tokenizer_file("piece_bpe_32k.model"), rounds=1).count() == 0
 
 
+def test_lm_scores_are_lattice_sums(spark):
+    """score, by its definition: one word after the other, by the single-word recursion, and the end."""
+    path = llm.tokenizer_file("piece_bpe_32k.model")
+    docs = [(1, "The cat, the  CAT"), (2, None), (3, "é" * 60), (4, " x\n"), (1, "The cat, the  CAT"), (None, "zq")]
+    pieces, p = lm.vocabulary(path)
+    assert np.isclose(p.sum() + np.exp(lm.END_WEIGHT), 1) and (p > 0).all() and len(pieces) > 30_000
+    model = lm.Lattice(pieces, np.log(p), lm.END_WEIGHT)
+    want = sorted(((sum(model.one(b" " + w) for w in (t or "").encode().lower().split()) + lm.END_WEIGHT) / np.log(10) for _, t in docs))
+    got = sorted(r.score for r in lm.lm_scores(frame(spark, docs), path, frequent=2).collect())
+    assert np.allclose(got, want)
+    refined = lm.lm_scores(frame(spark, docs), path, rounds=1, whole_words=True).where("doc_id = 3").first().score
+    assert refined > lm.lm_scores(frame(spark, docs), path).where("doc_id = 3").first().score  # a training row
+
+
+def test_vocabulary_scores(monkeypatch):
+    """A unigram file's scores are log probabilities; only ranks are turned into weights."""
+    import sentencepiece
+
+    assert lm.is_ranked(np.array([0.0, -2.0, -1.0])) and not lm.is_ranked(np.array([-1.5, -2.0, -9.1]))
+
+    class Stub:
+        def __init__(self, model_file):
+            self.pieces = [("<unk>", 0.0), ("\u2581a", -1.0), ("b", -2.5), ("ab", -3.0)]
+
+        def get_piece_size(self):
+            return len(self.pieces)
+
+        def is_control(self, i):
+            return False
+
+        def is_unknown(self, i):
+            return i == 0
+
+        def is_byte(self, i):
+            return False
+
+        def id_to_piece(self, i):
+            return self.pieces[i][0]
+
+        def get_score(self, i):
+            return self.pieces[i][1]
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Stub)
+    pieces, p = lm.vocabulary("any")
+    at = {x: k for k, x in enumerate(pieces)}
+    assert np.isclose(p[at[b" a"]] / p[at[b"b"]], np.exp(1.5)) and np.isclose(p[at[b"b"]] / p[at[b"ab"]], np.exp(0.5)) and np.isclose(p[at[b"x"]] / p[at[b"ab"]], 1e-3)
+    many = lm.Lattice([bytes([a, b, c]) for a in range(80) for b in range(80) for c in range(50)] + [b" "], np.zeros(320_001), -1.0)
+    assert many.one(b" " + bytes([1, 2, 3])) == 0.0
+
+
 def test_lattice_sums_all_segmentations():
     pieces = [bytes([b]) for b in b" abc"] + [b"ab", b" a", b"bc", b"abc", b" abc"]
     p = np.arange(1.0, len(pieces) + 1)
