@@ -52,11 +52,14 @@ def transliterate(s: Column) -> Column:
     return F.regexp_replace(collapse(out), "(?<=(?<![^ ])\\p{L}) (?=\\p{L}(?![^ ]))", "")
 
 
-def normalize_text(s: Column, domains: bool = False) -> Column:
+def normalize_text(s: Column, domains: bool = False, business: bool = True) -> Column:
+    """Trimmed, lower-cased, without accents, white space collapsed; null and the words for it are empty. With
+    domains, handles and domain endings go; .biz and .info only with business."""
+    ending = DOMAIN if business else DOMAIN.replace("|biz|info", "")
     t = strip_accents(F.lower(F.trim(F.coalesce(s, F.lit("")))))
     t = F.when(t.isin("nan", "null", "none"), "").otherwise(t)
     if domains:
-        t = F.regexp_replace(F.regexp_replace(t, f"(?i){HANDLE}", " "), f"(?i){DOMAIN}", " ")
+        t = F.regexp_replace(F.regexp_replace(t, f"(?i){HANDLE}", " "), f"(?i){ending}", " ")
     return collapse(t)
 
 
@@ -128,3 +131,8 @@ def id_list(s: Column) -> Column:
 
 def bucket(sid: Column) -> Column:
     return (F.crc32(sid) % 1000).cast("int")
+
+
+def safe_name(s: str) -> str:
+    """For file names: all but letters and digits of ASCII become _."""
+    return "".join(c if c.isascii() and c.isalnum() else "_" for c in s)

@@ -50,7 +50,7 @@ def keys(silver: DataFrame) -> DataFrame:
         "bn_zip": some(has_z & t0.isNotNull(), F.array(_join(t0, z))),
         "skel": F.filter(F.array(skeleton(t0)), lambda x: x.isNotNull()),
     }
-    rows = F.concat(*(_tagged(f, of[f]) for f in FAMILIES))
+    rows = F.concat(*(tagged(f, of[f]) for f in FAMILIES))
     return df.select("entity_id", "src", "country", F.explode(rows).alias("r")).select("entity_id", "src", "country", "r.family", "r.key")
 
 
@@ -59,20 +59,28 @@ def gram_keys(silver: DataFrame) -> DataFrame:
     return silver.select("entity_id", "src", "country", F.lit("char34").alias("family"), F.explode(char_grams(F.col("brand"))).alias("key"))
 
 
-def _tagged(family: str, values: Column) -> Column:
+def tagged(family: str, values: Column) -> Column:
     return F.transform(values, lambda k: F.struct(F.lit(family).alias("family"), k.alias("key")))
 
 
-def blocked_pairs(all_keys: DataFrame, most: int = MAX_POSTINGS) -> DataFrame:
-    """sid, cid, family: pairs that share a key which the pool holds at most `most` times. The cap is the
-    method's own: over-frequent keys link nothing. It bounds every join group on the pool's side."""
-    pool = all_keys.where("src <> 'S1'")
-    rare = pool.groupBy("country", "family", "key").agg(F.count("*").alias("n")).where(F.col("n") <= most).drop("n")
-    held = pool.join(rare, ["country", "family", "key"]).select("country", "family", "key", F.col("entity_id").alias("cid"))
-    asked = all_keys.where("src = 'S1'").select("country", "family", "key", F.col("entity_id").alias("sid"))
+def postings(pool_keys: DataFrame, most: int = MAX_POSTINGS) -> DataFrame:
+    """country, family, key, cid of the keys that the pool holds at most `most` times, repeats counted. The cap is
+    the method's own: over-frequent keys link nothing. It bounds every join group on the pool's side."""
+    rare = pool_keys.groupBy("country", "family", "key").agg(F.count("*").alias("n")).where(F.col("n") <= most).drop("n")
+    return pool_keys.join(rare, ["country", "family", "key"]).select("country", "family", "key", F.col("entity_id").alias("cid"))
+
+
+def probe(asked_keys: DataFrame, held: DataFrame) -> DataFrame:
+    """sid, cid, family: pairs of the asked S1 with postings."""
+    asked = asked_keys.select("country", "family", "key", F.col("entity_id").alias("sid"))
     return asked.join(held, ["country", "family", "key"]).select("sid", "cid", "family").distinct()
 
 
+def blocked_pairs(all_keys: DataFrame, most: int = MAX_POSTINGS) -> DataFrame:
+    """sid, cid, family: pairs of S1 and pool that share a key which postings() keeps. A null country links nothing."""
+    return probe(all_keys.where("src = 'S1'"), postings(all_keys.where("src <> 'S1'"), most))
+
+
 def truncated_postings(all_keys: DataFrame, most: int = 60) -> DataFrame:
     """The variant that keeps each key's first postings in order of id, and excludes none."""
     first = Window.partitionBy("country", "family", "key").orderBy("entity_id")
@@ -141,6 +149,12 @@ def retention(ranked: DataFrame, links: DataFrame) -> DataFrame:
     return one.select(F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(str(k)).alias("kept")) for k in ks))).alias("r")).select("r.k", "r.kept")
 
 
+def least_k(ranked: DataFrame, links: DataFrame, share: float = 0.995, default: int = 15) -> DataFrame:
+    """k: the least of the curve that keeps so large a share of the links that any candidate has; else default."""
+    total = ranked.join(links.select(F.col("s1id").alias("sid"), "cid"), ["sid", "cid"]).agg(F.count("*").alias("total"))
+    return retention(ranked, links).crossJoin(total).agg(F.coalesce(F.min(F.when(F.col("kept") >= share * F.col("total"), F.col("k"))), F.lit(default)).alias("k"))
+
+
 def country_stats(cands: DataFrame, s1: DataFrame) -> DataFrame:
     n = cands.groupBy("sid").agg(F.count("*").alias("c"))
     each = s1.select(F.col("entity_id").alias("sid"), "country").join(n, "sid", "left").na.fill(0, ["c"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
 
+# The names of the 43 features and their order.
 SIMILARITIES = ["n_ratio", "n_partial", "n_tsort", "n_tset", "n_wratio", "a_ratio", "a_partial", "a_tsort", "a_tset"]
 EXACT = ["num_overlap", "num_match", "num_conflict", "zip_match", "zip_conflict", "addr_missing", "legal_match", "legal_conflict", "name_exact", "brand_len", "word_cnt", "has_translit"]
 BASE = [*SIMILARITIES, "max_sim", "comb_sim", "dual_high", *EXACT]
@@ -16,9 +17,11 @@ FEATURES = [*BASE, *CONTEXT]
 
 def similarities(p: DataFrame) -> DataFrame:
     two = F.col("s_has_addr") & F.col("c_has_addr")
-    name = {f"n_{k}": f("s_brand", "c_brand") / 100 for k, f in (("ratio", sim.sim_ratio), ("partial", sim.sim_partial), ("tsort", sim.sim_token_sort), ("tset", sim.sim_token_set), ("wratio", sim.sim_w))}
-    addr = {f"a_{k}": F.when(two, f("s_addr", "c_addr") / 100).otherwise(0.0) for k, f in (("ratio", sim.sim_ratio), ("partial", sim.sim_partial), ("tsort", sim.sim_token_sort), ("tset", sim.sim_token_set))}
-    return p.withColumns(name | addr).withColumns(
+    short = {"ratio": "ratio", "partial": "partial", "token_sort": "tsort", "token_set": "tset", "w_ratio": "wratio"}
+    pick = lambda side, names: {f"{side}_{short[k]}": F.col(f"__{side}")[k] / 100 for k in names}
+    name, addr = pick("n", short), {k: F.when(two, v).otherwise(0.0) for k, v in pick("a", list(short)[:4]).items()}
+    p = p.withColumns({"__n": sim.sim_all("s_brand", "c_brand"), "__a": sim.sim_all(F.when(two, F.col("s_addr")), F.when(two, F.col("c_addr")))})
+    return p.withColumns(name | addr).drop("__n", "__a").withColumns(
         {
             "max_sim": F.greatest("n_tset", "a_tset"),
             "comb_sim": 0.6 * F.col("n_tset") + 0.4 * F.col("a_tset"),
@@ -84,32 +87,29 @@ def reverse_context(p: DataFrame, score: str = "comb_sim") -> DataFrame:
     cid = Window.partitionBy("cid")
     order = cid.orderBy(F.desc(score), "sid")
     best, n = F.max(score).over(cid), F.count("*").over(cid)
-    p = p.withColumns({"__r": F.row_number().over(order), "__next": F.nth_value(score, 2).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    p = p.withColumns({"__kd_place": F.row_number().over(order), "__kd_next": F.nth_value(score, 2).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
     return p.withColumns(
         {
             "cand_s1_count": n,
-            "is_mutual_best": (F.col("__r") == 1).cast("int"),
-            "gap_to_second_s1": F.when(n == 1, F.lit(1.0)).when(F.col("__r") == 1, F.col(score) - F.col("__next")).otherwise(F.col(score) - best),
+            "is_mutual_best": (F.col("__kd_place") == 1).cast("int"),
+            "gap_to_second_s1": F.when(n == 1, F.lit(1.0)).when(F.col("__kd_place") == 1, F.col(score) - F.col("__kd_next")).otherwise(F.col(score) - best),
         }
-    ).drop("__r", "__next")
+    ).drop("__kd_place", "__kd_next")
 
 
-def vector(p: DataFrame) -> DataFrame:
-    """sid, cid, c_src, country and the 43 features in their fixed order."""
-    p = reverse_context(group_context(exact(similarities(p))))
-    p = p.withColumns(
+def flags(p: DataFrame) -> DataFrame:
+    """What sides lack, and conflicts of numbers where names are not alike."""
+    return p.withColumns(
         {
             "strict_num_conflict": ((F.col("num_conflict") == 1) & (F.col("n_tsort") < 0.8)).cast("int"),
             "num_missing_one_side": ((F.size("s_nums") > 0) != (F.size("c_nums") > 0)).cast("int"),
             "s1_addr_missing": (~F.col("s_has_addr")).cast("int"), "c_addr_missing": (~F.col("c_has_addr")).cast("int"),
         }
     )
-    return p.join(agreement(p), ["sid", "cid"]).select("sid", "cid", "c_src", "country", *(F.col(f).cast("double").alias(f) for f in FEATURES))
 
 
-def features_v0(p: DataFrame) -> DataFrame:
-    """The nineteen features of the first generation."""
-    q = exact(similarities(p))
-    ln = lambda a, b: F.abs(F.length(a) - F.length(b)) / F.greatest(F.length(a), F.length(b), F.lit(1))
-    same = (F.size("s_nums") > 0) & (F.array_sort("s_nums") == F.array_sort("c_nums"))
-    return q.select("sid", "cid", *SIMILARITIES, "max_sim", "comb_sim", "dual_high", F.col("num_overlap").alias("num_overlap_ratio"), same.cast("int").alias("exact_num_match"), "num_match", "zip_match", ln(F.col("s_brand"), F.col("c_brand")).alias("len_diff_ratio"), (F.col("c_src") == "S2").cast("int").alias("is_s2"), (F.col("c_src") == "S3").cast("int").alias("is_s3"))
+def vector(p: DataFrame) -> DataFrame:
+    """sid, cid, c_src, country and the 43 features in their fixed order."""
+    p = flags(reverse_context(group_context(exact(similarities(p)))))
+    return p.join(agreement(p), ["sid", "cid"]).select("sid", "cid", "c_src", "country", *(F.col(f).cast("double").alias(f) for f in FEATURES))
+

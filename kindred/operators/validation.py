@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,16 +42,68 @@ def validate(lists: DataFrame, required: DataFrame, pool: DataFrame | None = Non
     return reduce(DataFrame.unionByName, out)
 
 
-def validate_text(lines: DataFrame, header: list[str]) -> DataFrame:
-    """lines (value) of a file as text: a header with commas, another header, rows without a tab."""
-    want = "\t".join(header).lower()
-    head = F.lower(F.trim("value"))
-    title = lines.where(head.contains(header[0].lower()))
+def validate_text(lines: DataFrame, header: list[str], first: str | None = None) -> DataFrame:
+    """lines (value) of a file as text, and its first line, by default that of the only file: a header with
+    commas in place of tabs, another header (cells trimmed, case aside), rows without a tab (blank ones aside)."""
+    if first is None:
+        got = lines.limit(1).first()
+        first = got[0] if got else ""
+    spark, want = lines.sparkSession, [x.lower() for x in header]
+    cells = lambda sep: [x.strip().lower() for x in first.lstrip("\ufeff").split(sep)]
+    comma = cells(",") == want
+    one = lambda bad: spark.createDataFrame([(first,)] if bad else [], "value string")
     return reduce(
         DataFrame.unionByName,
         [
-            _found("comma_header", "error", title.where(head == want.replace("\t", ",")).select("value")),
-            _found("wrong_header", "error", title.where(head != want).select("value")),
-            _found("row_without_tab", "error", lines.where((F.trim("value") != "") & ~F.col("value").contains("\t")).select("value")),
+            _found("comma_header", "error", one(comma)),
+            _found("wrong_header", "error", one(not comma and cells("\t") != want)),
+            _found("row_without_tab", "error", lines.where((F.trim("value") != "") & ~F.col("value").contains("\t") & (F.col("value") != F.lit(first))).select("value")),
         ],
     )
+
+
+MATCHING, CANDIDATE = ["source1_entity_id", "matched_entity_ids"], ["source1_entity_id", "candidate_entity_ids"]
+
+
+def _note(spark: SparkSession, rule: str, severity: str, n: int, what: str) -> DataFrame:
+    return spark.createDataFrame([(rule, severity, n, what)], "rule string, severity string, n long, examples string")
+
+
+def _lists_of(spark: SparkSession, path: str, header: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """Findings about a file by itself, and its lists (s1, ids) if it can be read."""
+    try:
+        first = spark.read.text(path).limit(1).collect()
+    except AnalysisException:
+        return _note(spark, "missing_file", "error", 1, path), None
+    except Exception as e:  # a file that Spark cannot open or decode is a finding, not a crash
+        return _note(spark, "unreadable_file", "error", 1, f"{path}: {type(e).__name__}"), None
+    if not first:
+        return _note(spark, "empty_file", "error", 1, path), None
+    lines = spark.read.text(path)
+    fatal = {r.rule for r in validate_text(lines.limit(0), header, first[0][0]).where("n > 0").collect()}
+    broken = lines.where(~F.is_valid_utf8("value"))
+    found = validate_text(lines, header, first[0][0]).unionByName(_found("not_utf8", "error", broken.select(F.substring(F.make_valid_utf8("value"), 1, 40))))
+    if fatal:  # cells cannot be told apart
+        return found, None
+    rows = lines.where((F.trim("value") != "") & F.col("value").contains("\t") & (F.col("value") != F.lit(first[0][0])))
+    cell = F.split("value", "\t", 2)
+    return found, rows.select(F.trim(F.get(cell, 0)).alias("s1"), F.get(cell, 1).alias("ids"))
+
+
+def validate_files(spark: SparkSession, matching: str, candidate: str | None, required: DataFrame, pool: DataFrame | None = None) -> DataFrame:
+    """All findings about an output: file (matching or candidate), rule, severity, n, examples. Without a
+    candidate file, or a pool to look ids up in, a warning says so. The file is bad if an error has n > 0."""
+    out, lists = [], {}
+    for name, path, header in (("matching", matching, MATCHING), ("candidate", candidate, CANDIDATE)):
+        if path is None:
+            out.append(_note(spark, "no_candidate_file", "warning", 1, "").select(F.lit(name).alias("file"), "*"))
+            continue
+        found, lists[name] = _lists_of(spark, path, header)
+        out.append(found.select(F.lit(name).alias("file"), "*"))
+    for name, rows in lists.items():
+        if rows is not None:
+            among = lists.get("candidate") if name == "matching" else None
+            out.append(validate(rows, required, pool, among).select(F.lit(name).alias("file"), "*"))
+    if pool is None:
+        out.append(_note(spark, "ids_not_checked", "warning", 1, "").select(F.lit("matching").alias("file"), "*"))
+    return reduce(DataFrame.unionByName, out)

@@ -16,6 +16,36 @@ def read_tsv(spark: SparkSession, path: str, schema: str = ENTITY) -> DataFrame:
     return spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", "").csv(path)
 
 
+def in_order(spark: SparkSession, path: str, schema: str = ENTITY) -> DataFrame:
+    """read_tsv() with place, which orders rows as the file has them: by file, then block, then row in the block."""
+    df = read_tsv(spark, path, schema).select("*", F.col("_metadata.file_path").alias("__kd_f"), F.col("_metadata.file_block_start").alias("__kd_b"))
+    return df.withColumn("place", F.struct("__kd_f", "__kd_b", F.monotonically_increasing_id().alias("row"))).drop("__kd_f", "__kd_b")
+
+
+def of_country(entities: DataFrame, country: str) -> tuple[DataFrame, DataFrame]:
+    """S1 and pool of one country."""
+    own = entities.where(F.col("country") == country)
+    return own.where(F.col("entity_id").startswith("S1-")), own.where(~F.col("entity_id").startswith("S1-"))
+
+
+def views(entities: DataFrame, links_: DataFrame) -> None:
+    """Temporary views s1, pool and links, for SQL."""
+    entities.where(F.col("entity_id").startswith("S1-")).createOrReplaceTempView("s1")
+    entities.where(~F.col("entity_id").startswith("S1-")).createOrReplaceTempView("pool")
+    links_.createOrReplaceTempView("links")
+
+
+def listing(entities: DataFrame, country: str, most: int = 50) -> DataFrame:
+    """The first so many entities of a country, by id."""
+    return entities.where(F.col("country") == country).orderBy("entity_id").limit(most)
+
+
+def unknown_ids(pairs: DataFrame, entities: DataFrame) -> DataFrame:
+    """side, id of the ends of pairs that no entity has: none, if the pairs are sound."""
+    ends = pairs.select(F.explode(F.array(F.struct(F.lit("sid").alias("side"), F.col("sid").alias("id")), F.struct(F.lit("cid").alias("side"), F.col("cid").alias("id")))).alias("e")).select("e.*").distinct()
+    return ends.join(entities.select(F.col("entity_id").alias("id")), "id", "left_anti")
+
+
 def links(truth: DataFrame) -> DataFrame:
     """(s1id, cid), one row for each pair of the comma lists."""
     return truth.select(F.col("source1_entity_id").alias("s1id"), F.explode(id_list(F.col("matched_entity_ids"))).alias("cid"))
@@ -35,8 +65,15 @@ def train_sample(entities: DataFrame, links_: DataFrame, cut: int) -> DataFrame:
 
 
 def write_lists(s1: DataFrame, pairs: DataFrame, path: str, column: str) -> None:
-    """One row for each S1, empty ones included, in order of id; ids by p descending, then id."""
-    match_lists(s1, pairs, column).orderBy("source1_entity_id").write.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+    """One row for each S1, empty ones included, in the order of place where s1 has it (see in_order()), else of id;
+    ids by p descending, then id."""
+    out = match_lists(s1, pairs, column)
+    if "place" in s1.columns:
+        at = s1.select(F.col("entity_id").alias("source1_entity_id"), "place")
+        out = out.join(at, "source1_entity_id").orderBy("place").drop("place")
+    else:
+        out = out.orderBy("source1_entity_id")
+    out.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
 
 
 def match_lists(s1: DataFrame, pairs: DataFrame, column: str = "matched_entity_ids") -> DataFrame:
@@ -84,7 +121,17 @@ ents AS (
   UNION ALL
   SELECT 'S2-' || lpad(CAST(90000000 + k AS STRING), 8, '0'), p_name || ' ' || w || lf,
          CAST((k*7) % 900 + 451 AS STRING) || ' ' || road || ' St, ' || CAST(10000 + (k*41) % 80000 AS STRING), country,
-         CAST(NULL AS STRING) FROM base WHERE k % 4 = 1)"""
+         CAST(NULL AS STRING) FROM base WHERE k % 4 = 1
+  UNION ALL
+  SELECT 'S3-' || lpad(CAST(60000000 + k AS STRING), 8, '0'), 'कमल ' || w || ' ' || p_name || ' ab',
+         num || ' ' || road || ' plaza St, ' || zip, country,
+         'S1-' || lpad(CAST(k AS STRING), 8, '0') FROM base WHERE k % 18 <> 0 AND k % 7 = 3
+  UNION ALL
+  SELECT 'S2-' || lpad(CAST(95000000 + k AS STRING), 8, '0'), p_name || ' ' || w, num || ' ' || road, CAST(NULL AS STRING),
+         CAST(NULL AS STRING) FROM base WHERE k % 97 = 5
+  UNION ALL
+  SELECT 'S1-' || lpad(CAST(96000000 + k AS STRING), 8, '0'), 'Lone ' || w || ' GmbH', CAST(NULL AS STRING), CAST(NULL AS STRING),
+         CAST(NULL AS STRING) FROM base WHERE k % 97 = 7)"""
 
 
 def fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
