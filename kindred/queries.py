@@ -244,7 +244,8 @@ def ranked_candidates(spark, d):
 
 @query()
 def ranked_candidates_similar(spark, d):
-    return resolution.candidates(_ents(spark, d), similar=True).select("sid", "cid", "rank_score", "rank", "n_tset", "a_tset")
+    q = resolution.candidates(_ents(spark, d), similar=True)
+    return q.select("sid", "cid", F.round("rank_score", 6).alias("rank_score"), "rank", F.round("n_tset", 6).alias("n_tset"), F.round("a_tset", 6).alias("a_tset"))
 
 
 @query(_with(_RANKED, """SELECT round(sum(h) / sum(n), 6) AS pair_recall, round(avg(CAST(h = n AS INT)), 6) AS entity_recall, any_value(m.mean_cands) AS mean_cands, any_value(m.median_cands) AS median_cands, any_value(m.p95_cands) AS p95_cands
@@ -316,6 +317,11 @@ def _tsort_sql(name: str, pairs: str) -> str:
 {name} AS (SELECT a, b, {_ratio_sql("wx", "wy")} AS v FROM {name}1)"""
 
 
+_SIMILAR = f"""{_RANKED}, {_tset_sql("bn", "SELECT sb AS a, cb AS b FROM j0")}, {_tset_sql("ba", "SELECT sa AS a, ca AS b FROM j0 WHERE sh AND ch")},
+c0 AS (SELECT j1.*, bn.v AS n, CASE WHEN sh AND ch THEN ba.v ELSE 0 END AS a FROM j1 JOIN bn ON bn.a = sb AND bn.b = cb LEFT JOIN ba ON ba.a = sa AND ba.b = ca),
+c1 AS (SELECT *, greatest(n, a) + CASE WHEN n >= 50 AND a >= 40 THEN 20 ELSE 0 END + CASE WHEN (sz <> '' AND sz = cz) OR nm = 1 THEN 10 ELSE 0 END AS score FROM c0)"""
+ORACLES["ranked_candidates_similar"] = _with(_SIMILAR, "SELECT sid, cid, round(score, 6) AS rank_score, CAST(row_number() OVER (PARTITION BY sid ORDER BY score DESC, cid) AS INT) AS rank, round(n, 6) AS n_tset, round(a, 6) AS a_tset FROM c1 QUALIFY rank <= 12")
+
 _SIMS = f"""{_RANKED}, {_tset_sql("nt", "SELECT sb AS a, cb AS b FROM ranked")}, {_tset_sql("adt", "SELECT sa AS a, ca AS b FROM ranked WHERE sh AND ch")}, {_tsort_sql("ts", "SELECT sb AS a, cb AS b FROM ranked")},
 sims0 AS (SELECT r.*, nt.v / 100 AS n_tset, CASE WHEN sh AND ch THEN adt.v / 100 ELSE 0 END AS a_tset, ts.v / 100 AS n_tsort FROM ranked r JOIN nt ON nt.a = sb AND nt.b = cb JOIN ts ON ts.a = sb AND ts.b = cb LEFT JOIN adt ON adt.a = sa AND adt.b = ca),
 sims AS (SELECT *, CAST(0.6 AS DOUBLE) * n_tset + CAST(0.4 AS DOUBLE) * a_tset AS comb FROM sims0)"""
@@ -366,9 +372,15 @@ def group_context(spark, d):
     return q.select("sid", "cid", "rank_comb", "rank_within_src", F.round("gap_comb", 6).alias("gap_comb"), F.round("z_comb", 3).alias("z_comb"), "n_cands", "n_s2", "n_s3")
 
 
-@query()
+_OTHERS = f"""{_RANKED},
+o AS (SELECT a.sid, a.cid, a.cb AS x1, b.cb AS x2, a.c_src <> b.c_src AS other FROM ranked a JOIN ranked b ON a.sid = b.sid AND a.cid <> b.cid),
+{_tset_sql("ot", "SELECT x1 AS a, x2 AS b FROM o WHERE other")}, {_tsort_sql("os", "SELECT x1 AS a, x2 AS b FROM o")}"""
+
+
+@query(_with(_OTHERS, """SELECT r.sid, r.cid, round(coalesce(m, 0), 6) AS agree_max_other, round(coalesce(a, 0), 6) AS agree_mean_other, coalesce(n, 0) AS count_sim_gt_90 FROM ranked r LEFT JOIN
+ (SELECT sid, cid, max(CASE WHEN other THEN near END) AS m, avg(CASE WHEN other THEN near END) AS a, count(*) FILTER (alike) AS n FROM (SELECT o.*, CASE WHEN x1 = '' OR x2 = '' THEN 0 ELSE ot.v / 100 END AS near, os.v >= 90 AS alike FROM o JOIN os ON os.a = x1 AND os.b = x2 LEFT JOIN ot ON ot.a = x1 AND ot.b = x2) GROUP BY sid, cid) g USING (sid, cid)"""))
 def agreement(spark, d):
-    return features.agreement(_sides(spark, d))
+    return features.agreement(_sides(spark, d)).select("sid", "cid", F.round("agree_max_other", 6).alias("agree_max_other"), F.round("agree_mean_other", 6).alias("agree_mean_other"), "count_sim_gt_90")
 
 
 @query(_with(_RANKED, """, r AS (SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY cid) AS n, max(p) OVER (PARTITION BY cid) AS best, lead(p) OVER w AS nxt FROM ranked WINDOW w AS (PARTITION BY cid ORDER BY p DESC, sid))
