@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches, stored, text_key
-from .words import Spans, covered, gram_hashes, mix, words_of
+from .words import Spans, bounds_of, covered, gram_hashes, hashes_of, mix
 
 WINDOW, ANCHOR = 20, 8
 #: Rows that a task combines at a time: 56 bytes each.
@@ -35,14 +35,15 @@ LAST = (1 << 63) - 1
 
 
 def cells(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text, anchor's hash, cell's hash, first window's start in the text, windows) of all cells."""
-    doc, _, _, hashes = words_of(texts)
+    """(text, anchor's hash, cell's hash, first window's start in the text, windows) of all cells. The two hashes
+    are of different families: equal cells are equal in both."""
+    buf, doc, starts, ends = bounds_of(texts)
     none = np.zeros(0, np.int64)
     if len(doc) < WINDOW:
         return none, none, none, none, none
     n_words = np.bincount(doc, minlength=len(texts))
     first = np.cumsum(n_words) - n_words
-    grams = gram_hashes(hashes, ANCHOR)
+    grams = gram_hashes(hashes_of(buf, starts, ends), ANCHOR)
     at = np.flatnonzero(doc[: len(doc) - WINDOW + 1] == doc[WINDOW - 1 :])  # starts of windows
     low, anchor = grams[at], at.copy()
     for k in range(1, WINDOW - ANCHOR + 1):
@@ -54,13 +55,13 @@ def cells(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     head = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)]))
     n = np.diff(np.concatenate([head, [len(at)]]))
     start = at[head]
-    text = Spans(hashes)(start, start + n - 1 + WINDOW)
+    text = Spans(hashes_of(buf, starts, ends, 1))(start, start + n - 1 + WINDOW)
     return doc[start], low[head].view(np.int64), text.view(np.int64), start - first[doc[start]], n
 
 
 def window_hashes(texts: list[bytes], ranges: list[list[tuple[int, int]]]) -> tuple[np.ndarray, ...]:
-    """(text, window's hash, start) of the n windows from start on, for each text's ranges (start, n)."""
-    doc, _, _, hashes = words_of(texts)
+    """(text, window's two hashes, start) of the n windows from start on, for each text's ranges (start, n)."""
+    buf, doc, starts, ends = bounds_of(texts)
     n_words = np.bincount(doc, minlength=len(texts))
     first = np.cumsum(n_words) - n_words
     own = np.repeat(np.arange(len(texts)), [len(r) for r in ranges])
@@ -69,7 +70,8 @@ def window_hashes(texts: list[bytes], ranges: list[list[tuple[int, int]]]) -> tu
     begin = np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     own = np.repeat(own, n)
     at = first[own] + begin
-    return own, Spans(hashes)(at, at + WINDOW).view(np.int64), begin
+    one, two = (Spans(hashes_of(buf, starts, ends, family))(at, at + WINDOW).view(np.int64) for family in (0, 1))
+    return own, one, two, begin
 
 
 def combine(rows: dict[str, np.ndarray], edges: bool) -> dict[str, np.ndarray]:
@@ -132,9 +134,9 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             did, th = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             ranges = [[(x["start"], x["n"]) for x in r] for r in batch.column(3).to_pylist()]
-            doc, key, start = window_hashes([x or b"" for x in batch.column(2).cast(pa.binary()).to_pylist()], ranges)
+            doc, key, cell, start = window_hashes([x or b"" for x in batch.column(2).cast(pa.binary()).to_pylist()], ranges)
             one = np.ones(len(doc), np.int32)
-            yield {"key": key, "cell": key, "did": did[doc], "text_hash": th[doc], "start": start, "n": one, "kind": 0 * one}
+            yield {"key": key, "cell": cell, "did": did[doc], "text_hash": th[doc], "start": start, "n": one, "kind": 0 * one}
 
     return _combined(parts(), False)
 
@@ -171,8 +173,8 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     Removed is each word inside a window of WINDOW words whose word sequence also starts earlier: in a
     smaller doc_id, or in the same document before. A null doc_id is later than any other. Rows that
     share a doc_id are one place in that order: equal starts there are a tie, and a tie is not earlier, so
-    repeated rows get equal results. Null, empty and short texts have no window. Windows and cells are
-    compared by 64-bit hashes. An empty table gives no rows."""
+    repeated rows get equal results. Null, empty and short texts have no window. Windows are compared by two
+    independent 64-bit hashes, cells by their anchor's hash and one of their text. An empty table gives no rows."""
     small_batches(docs.sparkSession)
     own = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("did"), text_key("text").alias("text_hash"), docs["text"].cast("string").alias("text"))
     seeds = own.mapInArrow(_seed, ROWS)
@@ -183,7 +185,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     edges = _lists(known.where(f"kind = {EDGE}"))
     windows = own.join(edges, ["did", "text_hash"]).select("did", "text_hash", "text", "ranges").mapInArrow(_extend, ROWS)
-    windows = windows.withColumn("first", F.min(F.struct("did", "start")).over(Window.partitionBy("key")))
+    windows = windows.withColumn("first", F.min(F.struct("did", "start")).over(of_cell))
     more = windows.where((F.col("kind") == GONE) | _later(F.col("first"))).select("did", "text_hash", "start", "n")
     gone = _lists(known.where(f"kind = {GONE}").select("did", "text_hash", "start", "n").unionByName(more))
     rows = own.join(gone, ["did", "text_hash"], "left").select("did", "text", "ranges")

@@ -12,7 +12,9 @@ NOT_ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 
 _SLICE = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
-_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: Two families of word hashes, of a base and values of bytes of their own: together they are 128 bits.
+_BASES = (_ODD, 0xA0761D6478BD642F)
+_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,25 +39,24 @@ def _powers(base: int, n: int) -> np.ndarray:
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(_SLICE + 1, 1 << int(n).bit_length())
-    if size not in _TABLES:
-        _TABLES.clear()
-        _TABLES[size] = (_powers(_ODD, size), _powers(pow(_ODD, -1, 2**64), size))
-    return _TABLES[size]
+def _tables(n: int, family: int) -> tuple[np.ndarray, np.ndarray]:
+    if family not in _TABLES or len(_TABLES[family][0]) < n:
+        size = max(_SLICE + 1, 1 << int(n).bit_length())
+        _TABLES[family] = (_powers(_BASES[family], size), _powers(pow(_BASES[family], -1, 2**64), size))
+    return _TABLES[family]
 
 
-def _hash_slice(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _tables(len(buf))
+def _hash_slice(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int) -> np.ndarray:
+    up, down = _tables(len(buf), family)
     with np.errstate(over="ignore"):
-        total = np.cumsum(_BYTE[buf] * up[: len(buf)], dtype=np.uint64)
+        total = np.cumsum(_BYTE[family][buf] * up[: len(buf)], dtype=np.uint64)
         total = np.concatenate([np.zeros(1, np.uint64), total])
         return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def words_of(texts: list[bytes], sep: np.ndarray = WHITE, hashed: bool = True):
-    """(doc, starts, ends, hashes) of all words of the texts: doc is the text's index, starts and ends
-    are byte offsets in b"\\n".join(texts). Empty texts have no words."""
+def bounds_of(texts: list[bytes], sep: np.ndarray = WHITE) -> tuple[np.ndarray, ...]:
+    """(buffer, doc, starts, ends) of all words of the texts: doc is the text's index, starts and ends
+    are byte offsets in the buffer, b"\\n".join(texts). Empty texts have no words."""
     data = b"\n".join(texts)
     buf = np.frombuffer(data, np.uint8)
     inside = np.zeros(len(buf) + 2, np.int8)
@@ -64,16 +65,24 @@ def words_of(texts: list[bytes], sep: np.ndarray = WHITE, hashed: bool = True):
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     first = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(texts) else np.zeros(0, np.int64)
-    doc = np.searchsorted(first, starts, side="right") - 1
-    if not hashed:
-        return doc, starts, ends, None
+    return buf, np.searchsorted(first, starts, side="right") - 1, starts, ends
+
+
+def hashes_of(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
+    """64-bit hashes of the words of bounds_of()."""
     hashes, at = np.empty(len(starts), np.uint64), 0
     while at < len(starts):  # slices end between words; a longer word makes its slice longer
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + _SLICE, side="right")))
         low, high = starts[at], ends[to - 1]
-        hashes[at:to] = _hash_slice(buf[low:high], starts[at:to] - low, ends[at:to] - low)
+        hashes[at:to] = _hash_slice(buf[low:high], starts[at:to] - low, ends[at:to] - low, family)
         at = to
-    return doc, starts, ends, hashes
+    return hashes
+
+
+def words_of(texts: list[bytes], sep: np.ndarray = WHITE, hashed: bool = True):
+    """(doc, starts, ends, hashes) of all words of the texts, see bounds_of() and hashes_of()."""
+    buf, doc, starts, ends = bounds_of(texts, sep)
+    return doc, starts, ends, hashes_of(buf, starts, ends) if hashed else None
 
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

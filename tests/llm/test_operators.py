@@ -94,6 +94,18 @@ def test_substrings_random(spark):
     assert collected(out, "doc_id", "n_words", "n_removed", "h") == ordered(brute.substrings(rows))
 
 
+def test_windows_need_both_hashes():
+    """Windows that share one hash and not the other are different text."""
+    text = " ".join(f"w{k}" for k in range(50)).encode()
+    own, one, two, start = substrings.window_hashes([text, text], [[(0, 31)], [(3, 5)]])
+    assert own.tolist() == [0] * 31 + [1] * 5 and start.tolist() == [*range(31), *range(3, 8)]
+    assert len(set(one.tolist())) == len(set(two.tolist())) == 31 and not set(one.tolist()) & set(two.tolist())
+    assert one[3:8].tolist() == one[31:].tolist() and two[3:8].tolist() == two[31:].tolist()
+    rows = {k: np.zeros(3, t) for k, t in zip(substrings.NAMES, substrings.TYPES)} | {"key": np.array([5, 5, 5]), "cell": np.array([1, 2, 1]), "did": np.array([1, 2, 3])}
+    kinds = dict(zip(*(substrings.combine(rows, False)[k].tolist() for k in ("did", "kind"))))
+    assert kinds == {1: substrings.ROW, 2: substrings.ROW, 3: substrings.GONE}
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 24, 1500])
 def test_decontaminate(spark, rows, monkeypatch, block_bytes):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
