@@ -103,4 +103,44 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN listed USING (doc_id)"""
 
 
-ORACLES = {"op2_secret_scan": _secrets_sql()}
+def _words_sql(table_: str, id_: str, pattern: str, text: str = "coalesce(text, '')") -> str:
+    """A row of its own for each row of a table: rid, id, w (the words, from 1 on)."""
+    return f"SELECT row_number() OVER () AS rid, {id_} AS id, regexp_extract_all({text}, '{pattern}') AS w FROM {table_}"
+
+
+def _substrings_sql() -> str:
+    """op4 in DuckDB: every window as text, the first start of each."""
+    n = substrings.WINDOW
+    return f"""
+WITH d AS ({_words_sql("documents", f"coalesce(doc_id, {substrings.LAST})", WHITE_WORDS)}),
+wins AS (SELECT rid, id, i, array_to_string(w[i:i + {n - 1}], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - {n - 2})) AS i FROM d WHERE len(w) >= {n})),
+firsts AS (SELECT g, min((id, i)) AS f FROM wins GROUP BY g),
+gone AS (SELECT DISTINCT rid, i + k AS pos FROM (SELECT rid, i, unnest(range({n})) AS k FROM wins JOIN firsts USING (g) WHERE (id, i) > f)),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS t FROM words ANTI JOIN gone USING (rid, pos) GROUP BY rid)
+SELECT nullif(id, {substrings.LAST}) AS doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)"""
+
+
+def _decontamination_sql() -> str:
+    """op7 in DuckDB: every window of the sizes that items have, as text."""
+    n = decontaminate.WINDOW
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH d AS ({_words_sql("documents", "doc_id", ALNUM_WORDS, lower)}),
+b AS (SELECT *, least(len(w), {n}) AS n FROM ({_words_sql("benchmark", "CAST(item_id AS VARCHAR)", ALNUM_WORDS, lower)}) WHERE len(w) > 0),
+tests AS (SELECT DISTINCT id AS item, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+sizes AS (SELECT DISTINCT n FROM tests),
+wins AS (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM d JOIN sizes ON len(w) >= n)),
+hits AS (SELECT rid, i, n, item FROM wins JOIN tests USING (n, g)),
+words AS (SELECT rid, count(DISTINCT i + k) AS n_hit FROM (SELECT rid, i, unnest(range(n)) AS k FROM hits) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item FROM hits WHERE item IS NOT NULL) GROUP BY rid)
+SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
+
+
+#: The contract's words.
+WHITE_WORDS = "[^\\x20\\x09-\\x0D]+"
+ALNUM_WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+ORACLES = {"op2_secret_scan": _secrets_sql(), "op4_substring_dedup": _substrings_sql(), "op7_decontamination": _decontamination_sql()}
