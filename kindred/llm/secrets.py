@@ -116,12 +116,19 @@ def listing(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+#: Findings of up to so many bytes are broadcast; more are shuffled.
+FOUND_BYTES = 32 << 20
+
+
 def redact(docs: DataFrame, mark: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with all their columns and rows; in text, each stretch that spans cover is replaced by mark.
-    n_chars, if there, follows the text that changed. Null and empty texts, and all others without a finding,
+    n_chars, if there, follows the text that changed. Whole texts are shuffled once, to be scanned once for each
+    blob, and a second time only if findings are too many to broadcast. Null and empty texts, and all others without a finding,
     stay as they are; repeated rows stay; an empty table gives none."""
     ledger = stored(scan(docs, None, rules), "ledger")
-    found = _by_blob(ledger, rules)
+    found = stored(_by_blob(ledger, rules), "found")
+    size = found.agg(F.sum(128 + 64 * F.size("found"))).first()[0] or 0
+    found = F.broadcast(found) if size <= FOUND_BYTES else found
     text = F.col("text").cast("string")
     # spans in order: what lies between the end so far and the next start stays, overlaps are one stretch
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("end"))
