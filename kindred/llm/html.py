@@ -10,6 +10,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -65,14 +66,18 @@ class Node:
     linked: int = 0  #: characters inside links
     n: int = 0  #: characters below
     links: int = 0
-    inside: frozenset = field(default_factory=frozenset)
+    inside: frozenset = field(default_factory=frozenset)  #: tags around it
+    under: frozenset = field(default_factory=frozenset)  #: kinds of the elements around it
 
 
 def parse(page: str) -> list[Node]:
     """Nodes in page order, parents first: visible elements that begin a block, and the blocks of text in
     them. Inline elements add to the text of the block around them; a br is white space."""
     nodes = [Node("#root", -1)]
-    stack: list[tuple[str, int]] = [("#root", 0)]  # all open elements, with the node they belong to
+    # all elements, with the node they belong to; one that ended inside an open one stays as a gap ("", -1)
+    stack: list[tuple[str, int]] = [("#root", 0)]
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where the open elements of each tag are
+    blocks = [0]  # and those that begin a block: no end tag searches the stack
     hidden, links = 0, 0
     parts: list[str] = []
     linked = n_links = 0
@@ -94,15 +99,23 @@ def parse(page: str) -> list[Node]:
         if links:
             linked += len(got.strip())
 
+    def last(tag: str) -> int:
+        found = places.get(tag)
+        return found[-1] if found else 0
+
     def close(k: int) -> None:
         """Close open elements from place k on."""
         nonlocal hidden, links
-        if any(t in BLOCK for t, _ in stack[k:]):
+        if blocks[-1] >= k:
             flush()
-        for t, _ in stack[k:]:
-            hidden -= t in HIDDEN
-            links -= t == "a"
-        del stack[k:]
+        while len(stack) > k or not stack[-1][0]:
+            t, _ = stack.pop()
+            if t:
+                places[t].pop()
+                hidden -= t in HIDDEN
+                links -= t == "a"
+        while blocks[-1] >= k:
+            blocks.pop()
 
     at, size = 0, len(page)
     while at < size:
@@ -117,13 +130,14 @@ def parse(page: str) -> list[Node]:
             continue
         tag, attrs = name.lower(), m[3] or m[6] or ""
         if m[1] or m[4]:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if k and (tag in BLOCK or not any(t in BLOCK for t, _ in stack[k + 1 :])):
+            k = last(tag)
+            if k and (tag in BLOCK or blocks[-1] <= k):
                 close(k)
             elif k:  # an inline end tag across blocks ends the inline element alone
                 hidden -= tag in HIDDEN
                 links -= tag == "a"
-                del stack[k]
+                places[tag].pop()
+                stack[k] = ("", -1)
             elif tag == "p" or tag == "br":
                 parts.append(" ")
             continue
@@ -132,13 +146,11 @@ def parse(page: str) -> list[Node]:
             continue
         if tag in CLOSES_P or tag in ENDS:
             names, until = ENDS.get(tag, ({"p"}, {"button", "table", "td", "th", "caption", "object"}))
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in until:
+            ended = names | {"p"}
+            while (k := max(map(last, ended))) and k > max(map(last, until)):
+                close(k)
+                if stack[-1][0] not in names:
                     break
-                if stack[k][0] in names or tag in ENDS and stack[k][0] == "p":
-                    close(k)
-                    if stack and stack[-1][0] not in names:
-                        break
         if tag in VOID:
             if tag == "hr":
                 flush()
@@ -161,6 +173,9 @@ def parse(page: str) -> list[Node]:
             continue
         if tag in HIDDEN and not hidden and tag in ("textarea", "select", "option", "button"):
             parts.append(" ")
+        places[tag].append(len(stack))
+        if tag in BLOCK:
+            blocks.append(len(stack))
         stack.append((tag, own))
         hidden += tag in HIDDEN
         if tag == "a":
@@ -174,11 +189,15 @@ def parse(page: str) -> list[Node]:
         up = nodes[nodes[k].parent]
         up.n, up.linked, up.links = up.n + nodes[k].n, up.linked + nodes[k].linked, up.links + nodes[k].links
     for k in nodes[1:]:
+        up = nodes[k.parent]
+        k.under = up.under.union(up.kinds) if up.kinds else up.under
         k.inside = nodes[k.parent].inside | {nodes[k.parent].tag} if nodes[k.parent].tag in ("article", "main", "nav", "aside", "footer", "header", "form", "li", "table") else nodes[k.parent].inside
     return nodes
 
 
-FEATURES = ["bias", *(f"tag {t}" for t in TAG_KINDS), "tag other", *WORDS, "is_hidden", *(f"in {t}" for t in ("article", "main", "nav", "aside", "footer", "header", "form", "li", "table")), "text", "short text", "long text", "link share", "mostly links", "many links", "ends sentence", "has words"]
+#: Share of the labelled pages with made-up names: so much does a block's place and form count beside names.
+STRANGE = 0.3
+FEATURES = ["bias", *(f"tag {t}" for t in TAG_KINDS), "tag other", *WORDS, "is_hidden", *(f"in {t}" for t in ("article", "main", "nav", "aside", "footer", "header", "form", "li", "table")), *(f"under {k}" for k in WORDS), "before h1", "after h1", "text", "short text", "long text", "link share", "mostly links", "many links", "ends sentence", "has words"]
 _PLACE = {f: k for k, f in enumerate(FEATURES)}
 EDGES = ("edge", "edge to text")
 
@@ -186,10 +205,14 @@ EDGES = ("edge", "edge to text")
 def describe(nodes: list[Node]) -> list[list[tuple[int, float]]]:
     """The features of each node that are not zero, with their values."""
     out = []
-    for v in nodes:
+    title = max((k for k, v in enumerate(nodes) if v.tag == "h1"), default=None)  # the site's name may be an h1 before it
+    for k, v in enumerate(nodes):
         row = [(0, 1.0), (_PLACE.get(f"tag {v.tag}", _PLACE["tag other"]), 1.0)]
         row += [(_PLACE[f], 1.0) for f in v.kinds]
         row += [(_PLACE[f"in {t}"], 1.0) for t in v.inside]
+        row += [(_PLACE[f"under {t}"], 1.0) for t in v.under if t in WORDS]
+        if title is not None and k != title:
+            row.append((_PLACE["before h1" if k < title else "after h1"], 1.0))
         if v.n:
             share = v.linked / v.n
             if share:
@@ -221,11 +244,15 @@ class Model:
     own: list[float]  #: weight of each feature for content
     edge: list[list[list[float]]]  #: two kinds of edge, by parent's and child's state
 
-    def marginals(self, nodes: list[Node], x: list[list[tuple[int, float]]], pairs: bool = False):
-        """P(content) of each node, by sum-product; with pairs, also P(parent's state, child's state) of each
-        node's edge to its parent."""
-        own, n = self.own, len(nodes)
-        up0, up1 = [0.0] * n, [sum(own[k] * v for k, v in row) for row in x]
+    def marginals(self, nodes: list[Node], x: list[list[tuple[int, float]]]) -> list[float]:
+        """P(content) of each node, by sum-product."""
+        return self.passed(nodes, [sum(self.own[k] * v for k, v in row) for row in x])
+
+    def passed(self, nodes: list[Node], up1: list[float], pairs: bool = False):
+        """The marginals by the nodes' own potentials, which the messages are added to; with pairs, also
+        P(parent's state, child's state) of each node's edge to its parent."""
+        n = len(nodes)
+        up0 = [0.0] * n
         msg0, msg1, down0, down1 = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
         for k in range(n - 1, 0, -1):  # children come after parents
             v = nodes[k]
@@ -258,9 +285,11 @@ def _sentence(rng: random.Random, low: int = 6, high: int = 30) -> str:
     return _words(rng, rng.randint(low, high)).capitalize() + rng.choice(".....!?")
 
 
-def labelled_page(seed: int) -> tuple[str, set[str]]:
-    """A page and its blocks of main text, written from one of many layouts. No word of it is a feature."""
+def labelled_page(seed: int, strange: float = STRANGE) -> tuple[str, set[str]]:
+    """A page and its blocks of main text, written from one of many layouts. No word of it is a feature. On a
+    share of the pages, `strange`, half of the class names and ids are made up too and tell nothing."""
     rng = random.Random(seed)
+    made_up = 0.5 * (rng.random() < strange)
     main: list[str] = []
 
     def text(s: str) -> str:
@@ -271,7 +300,8 @@ def labelled_page(seed: int) -> tuple[str, set[str]]:
         return "".join(f'<li><a href="/{k}">{_words(rng, rng.randint(1, 3))}</a></li>' for k in range(n))
 
     def named(kind: str) -> str:
-        return rng.choice(["class", "class", "id"]) + f'="{rng.choice(WORDS[kind])}{rng.choice(["", "", "-box", "_1", " wide"])}"'
+        name = _words(rng, 1) if rng.random() < made_up else rng.choice(WORDS[kind])
+        return rng.choice(["class", "class", "id"]) + f'="{name}{rng.choice(["", "", "-box", "_1", " wide"])}"'
 
     def side(kind: str) -> str:
         tag = {"is_nav": ["nav", "div", "ul"], "is_side": ["aside", "div", "section"], "is_foot": ["footer", "div"], "is_head": ["header", "div"]}.get(kind, ["div", "section", "aside", "div"])
@@ -331,7 +361,7 @@ def labelled_page(seed: int) -> tuple[str, set[str]]:
     if rng.random() < 0.2:
         inside.append(side(rng.choice(["is_talk", "is_share", "is_side", "is_foot"])))
     tag = rng.choice(["article", "article", "article", "main", "div", "section"])
-    attr = "" if tag in ("article", "main") and rng.random() < 0.6 else f' class="{rng.choice(WORDS["is_text"])}"'
+    attr = "" if tag in ("article", "main") and rng.random() < 0.6 else " " + named("is_text")
     core = f"<{tag}{attr}>{head}{''.join(inside)}</{tag}>"
     if rng.random() < 0.3:
         core = f"<{(w := rng.choice(['main', 'div', 'section']))}>{core}</{w}>"
@@ -351,39 +381,43 @@ def states(nodes: list[Node], main: set[str]) -> list[int]:
     return [int(g > 0.5 * v.n) for g, v in zip(good, nodes)]
 
 
-def train(pages: list[tuple[str, set[str]]], rounds: int, l2: float = 0.0005) -> Model:
+def train(pages: list[tuple[str, set[str]]], rounds: int, l2: float = 0.0001, step: float = 1.0) -> Model:
     """Full-batch AdaGrad on the log likelihood of the labelled states."""
     data = []
     for page, main in pages:
         nodes = parse(page)
         data.append((nodes, describe(nodes), states(nodes, main)))
     own, edge = np.zeros(len(FEATURES)), np.zeros((2, 2, 2))
-    total = sum(len(n) for n, _, _ in data)
+    # all pages' features as one sparse matrix: row, feature, value
+    rows = [row for _, x, _ in data for row in x]
+    at = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
+    feature, value = np.array([f for row in rows for f, _ in row], np.int64), np.array([v for row in rows for _, v in row])
+    wanted, total = np.array([s for _, _, y in data for s in y], float), len(rows)
     seen = [np.zeros_like(own), np.zeros_like(edge)]
     for _ in range(rounds):
         model = Model(own.tolist(), edge.tolist())
-        g_own, g_edge = [0.0] * len(FEATURES), [[0.0] * 4, [0.0] * 4]
-        for nodes, x, y in data:
-            p, pair = model.marginals(nodes, x, pairs=True)
-            for k, row in enumerate(x):
-                d = y[k] - p[k]
-                for f, v in row:
-                    g_own[f] += d * v
-                if k:
-                    g = g_edge[nodes[k].tag == "#text"]
-                    for c in range(4):
-                        g[c] -= pair[k][c]
-                    g[2 * y[nodes[k].parent] + y[k]] += 1
-        grads = (np.array(g_own) / total - l2 * own, np.array(g_edge).reshape(2, 2, 2) / total - l2 * edge)
+        potential = np.bincount(at, own[feature] * value, total).tolist()
+        got: list[float] = []
+        g_edge = [[0.0] * 4, [0.0] * 4]
+        for nodes, _, y in data:
+            p, pair = model.passed(nodes, potential[len(got) : len(got) + len(nodes)], pairs=True)
+            got += p
+            for k in range(1, len(nodes)):
+                g = g_edge[nodes[k].tag == "#text"]
+                for c in range(4):
+                    g[c] -= pair[k][c]
+                g[2 * y[nodes[k].parent] + y[k]] += 1
+        g_own = np.bincount(feature, ((wanted - np.array(got))[at]) * value, len(FEATURES))
+        grads = (g_own / total - l2 * own, np.array(g_edge).reshape(2, 2, 2) / total - l2 * edge)
         for s, g in zip(seen, grads):
             s += g * g
-        own = own + 0.5 * grads[0] / np.sqrt(seen[0] + 1e-8)
-        edge = edge + 0.5 * grads[1] / np.sqrt(seen[1] + 1e-8)
+        own = own + step * grads[0] / np.sqrt(seen[0] + 1e-8)
+        edge = edge + step * grads[1] / np.sqrt(seen[1] + 1e-8)
     return Model(own.tolist(), edge.tolist())
 
 
 @cache
-def default_model(pages: int = 120, rounds: int = 60) -> Model:
+def default_model(pages: int = 160, rounds: int = 60) -> Model:
     """Trained on the labelled pages of seeds 0 to pages - 1: once for each driver, and the same each time."""
     return train([labelled_page(s) for s in range(pages)], rounds)
 

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -445,17 +446,27 @@ def test_toxicity_learns_sentences(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.predicted}
 
 
-def test_html_labelled_pages():
+@pytest.mark.parametrize("strange, pages_wrong, blocks_wrong", [(0.0, 0.08, 0.005), (1.0, 0.4, 0.04)])
+def test_html_labelled_pages(strange, pages_wrong, blocks_wrong):
+    """On pages that were not trained on, with class names that tell and with half of them made up."""
     model = html.default_model()
-    hit = n = 0
-    for seed in range(5000, 5100):
-        page, main = html.labelled_page(seed)
+    bad, wrong, n = 0, 0, 0
+    for seed in range(5000, 5300):
+        page, main = html.labelled_page(seed, strange)
         got = [x for x in html.main_text(page, model).split("\n") if x]
         want = {re.sub(r"\s+", " ", m).strip() for m in main}
         blocks = {v.text for v in html.parse(page) if v.tag == "#text"}
-        hit += sum((b in want) == (b in got) for b in blocks)
-        n += len(blocks)
-    assert hit / n > 0.95
+        missed = sum((b in want) != (b in got) for b in blocks)
+        bad, wrong, n = bad + (missed > 0), wrong + missed, n + len(blocks)
+    assert bad <= pages_wrong * 300 and wrong <= blocks_wrong * n
+
+
+def test_html_parse_is_linear():
+    """Elements that never end, end out of turn or end without having begun."""
+    for page in ("<b>" * 20000 + "<i>" * 20000 + "</b>" * 20000, "<i></u>" * 40000, "<div>" * 20000 + "x", "<b><div>" * 10000 + "</b>" * 10000 + "t", "<li>" * 20000 + "</li>" * 20000):
+        began = time.time()
+        html.parse(page)
+        assert time.time() - began < 5
 
 
 def test_html_marginals_match_enumeration():
