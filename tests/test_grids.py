@@ -1,6 +1,7 @@
 """The reference's whole grids and truncated families; their rows are compared with SQL in test_oracles.py."""
 
 from kindred import queries
+from kindred.operators import decisions
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,3 +23,37 @@ def test_truncated_families(spark):
     assert {f for _, f, _ in held} == {"tok", "pref4", "char34", "addr_tok", "zip_num"}
     assert max(map(len, held.values())) == 60 and all(len(set(x)) == len(x) or f != "char34" for (_, f, _), x in held.items())
     assert {len(k) for _, f, k in held if f == "char34"} == {3, 4}
+
+
+def largest(plan):
+    """Most rows that a node of an executed plan made."""
+    name, metrics = plan.getClass().getSimpleName(), plan.metrics()
+    own = metrics.apply("numOutputRows").value() if metrics.contains("numOutputRows") else 0
+    inner = [plan.executedPlan()] if name == "AdaptiveSparkPlanExec" else [plan.plan()] if name.endswith("QueryStageExec") else []
+    children = plan.children()
+    return max([own, *map(largest, inner + [children.apply(k) for k in range(children.size())])])
+
+
+def test_grid_by_counts(spark):
+    """S1 with the same counts meet the grid once; cells are those of the plain definition."""
+    n, steps = 3000, [0.3, 0.5, 0.7, 0.9]
+    kinds = [  # true links, and pairs with p, of a third each
+        (["S2-a", "S3-a"], [("S2-a", 0.95), ("S3-a", 0.6), ("S3-b", 0.5)]),
+        ([], [("S2-a", 0.4)]),
+        (["S3-a", "S3-b"], [("S2-a", 0.2), ("S3-a", 0.3)]),
+    ]
+    s1 = [f"S1-{k}" for k in range(n)] + ["S1-alone", "S1-missed"]
+    true = [(f"S1-{k}", f"{c}{k}") for k in range(n) for c in kinds[k % 3][0]] + [("S1-missed", "S2-x")]
+    pairs = [(f"S1-{k}", f"{c}{k}", p) for k in range(n) for c, p in kinds[k % 3][1]]
+    df = lambda rows, schema: spark.createDataFrame(rows, schema)
+    got = decisions.source_grid(df(pairs, "sid string, cid string, p double"), df(true, "s1id string, cid string"), df([(x, "US") for x in s1], "entity_id string, country string"), steps)
+    rows = got.collect()
+    assert largest(got._jdf.queryExecution().executedPlan()) < 3 * n  # each S1 in each of its cells: 8 * n
+    assert len(rows) == len(steps) ** 2
+    for r in rows:
+        f = 1.0  # of S1-alone; S1-missed scores 0
+        for links, found in kinds:
+            won = [c for c, p in found if p >= (r.th_s3 if c.startswith("S3") else r.th_s2)]
+            hit = len(set(won) & set(links))
+            f += n / 3 * (float(bool(won) == bool(links)) if not won or not links else 1.25 * hit / (0.25 * len(links) + len(won)))
+        assert abs(r.macro_f05 - f / (n + 2)) < 1e-6, r
