@@ -1,7 +1,8 @@
 """The reference's whole grids and truncated families; their rows are compared with SQL in test_oracles.py."""
 
 from kindred import queries
-from kindred.operators import decisions
+from kindred.functions import similarity as sim
+from kindred.operators import decisions, features
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,13 +26,13 @@ def test_truncated_families(spark):
     assert {len(k) for _, f, k in held if f == "char34"} == {3, 4}
 
 
-def largest(plan):
+def largest(plan, metric="numOutputRows"):
     """Most rows that a node of an executed plan made."""
     name, metrics = plan.getClass().getSimpleName(), plan.metrics()
-    own = metrics.apply("numOutputRows").value() if metrics.contains("numOutputRows") else 0
+    own = metrics.apply(metric).value() if metrics.contains(metric) else 0
     inner = [plan.executedPlan()] if name == "AdaptiveSparkPlanExec" else [plan.plan()] if name.endswith("QueryStageExec") else []
     children = plan.children()
-    return max([own, *map(largest, inner + [children.apply(k) for k in range(children.size())])])
+    return max([own, *(largest(x, metric) for x in inner + [children.apply(k) for k in range(children.size())])])
 
 
 def test_grid_by_counts(spark):
@@ -57,3 +58,20 @@ def test_grid_by_counts(spark):
             hit = len(set(won) & set(links))
             f += n / 3 * (float(bool(won) == bool(links)) if not won or not links else 1.25 * hit / (0.25 * len(links) + len(won)))
         assert abs(r.macro_f05 - f / (n + 2)) < 1e-6, r
+
+
+def test_agreement_once_for_two(spark):
+    """Each two candidates of an S1 are compared once, and both have the result."""
+    brands = ["acme park mill", "mill park acme", "acme", "", "park lake hill", "acme park"]
+    rows = [(f"S1-{s}", f"S{2 + k % 2}-{s}{k}", f"S{2 + k % 2}", b) for s in range(40) for k, b in enumerate(brands[: 1 + s % 6])]
+    got = features.agreement(spark.createDataFrame(rows, "sid string, cid string, c_src string, c_brand string"))
+    found = {(r.sid, r.cid): r[2:] for r in got.collect()}
+    twos = sum(n * (n - 1) // 2 for n in (1 + s % 6 for s in range(40)))
+    assert largest(got._jdf.queryExecution().executedPlan(), "pythonNumRowsReceived") == twos
+    assert set(found) == {r[:2] for r in rows}
+    for sid, cid, src, brand in rows:
+        rest = [r for r in rows if r[0] == sid and r[1] != cid]
+        near = [sim.token_set_ratio(brand, r[3]) / 100 if brand and r[3] else 0.0 for r in rest if r[2] != src]
+        alike = sum(sim.token_sort_ratio(brand, r[3]) >= 90 for r in rest)
+        most, mean, n = found[sid, cid]
+        assert abs(most - max(near, default=0.0)) < 1e-9 and abs(mean - (sum(near) / len(near) if near else 0.0)) < 1e-9 and n == alike
